@@ -1,0 +1,16 @@
+"""Vector columns (``array<float>``)."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def dot(a: Column, b: Column) -> Column:
+    """Dot product in double precision; the cosine for unit-length vectors."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y), F.lit(0.0), lambda s, x: s + x)
+
+
+def l2_normalise(a: Column) -> Column:
+    norm = F.sqrt(F.aggregate(a, F.lit(0.0), lambda s, x: s + x.cast("double") * x))
+    return F.transform(a, lambda x: F.when(norm > 0, x / norm).otherwise(F.lit(0.0)).cast("float"))
