@@ -4,7 +4,7 @@ from importlib import import_module
 
 from casework.plans.registry import REGISTRY, runnable
 
-for _module in ("corpus", "search"):
+for _module in ("corpus", "search", "measures"):
     import_module(f"casework.plans.{_module}")
 
 
