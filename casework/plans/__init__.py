@@ -4,7 +4,7 @@ from importlib import import_module
 
 from casework.plans.registry import REGISTRY, runnable
 
-for _module in ("corpus", "search", "measures"):
+for _module in ("corpus", "search", "measures", "relations", "learning", "storage", "streams"):
     import_module(f"casework.plans.{_module}")
 
 

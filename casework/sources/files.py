@@ -65,10 +65,13 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
     return df.toDF(*[normalise_name(c) for c in df.columns])
 
 
-def read_eval_set(spark: SparkSession, path: str) -> DataFrame:
-    """Evaluation cases from a JSON file with a nested ``cases`` array; missing flags are false."""
+def read_eval_set(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Evaluation cases from JSON with a nested ``cases`` array; missing flags are false.
+
+    One document per file, or one per line (splittable) with ``multi_line=False``.
+    """
     schema = T.StructType([T.StructField("cases", T.ArrayType(EVAL_CASE))])
-    cases = spark.read.schema(schema).option("multiLine", "true").json(path).select(F.inline("cases"))
+    cases = spark.read.schema(schema).option("multiLine", str(multi_line).lower()).json(path).select(F.inline("cases"))
     return cases.select(
         *[
             F.coalesce(F.col(f.name), F.lit(False)).alias(f.name) if f.dataType == T.BooleanType() else F.col(f.name)
