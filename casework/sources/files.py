@@ -47,7 +47,7 @@ def scan_files(spark: SparkSession, path: str, suffixes: Sequence[str] = (".txt"
     return kept.select(
         relative.alias("path"),
         "name",
-        F.regexp_replace(F.decode("content", "UTF-8"), "�", "").alias("text"),
+        F.replace(F.make_valid_utf8(F.col("content").cast("string")), F.lit("\ufffd"), F.lit("")).alias("text"),
         F.col("length").alias("size"),
         F.col("modificationTime").alias("modified"),
     )

@@ -10,7 +10,6 @@ import math
 import os
 import sys
 import time
-import traceback
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -23,6 +22,13 @@ from casework.sources.files import TABLES  # noqa: E402
 TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
+def connect(folder: str):
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"create view {t} as select * from '{folder}/{t}.parquet'")
+    return con
+
+
 def norm(v):
     if v is None or (isinstance(v, float) and math.isnan(v)):
         return (0, "")
@@ -33,6 +39,27 @@ def norm(v):
     return (3, str(v))
 
 
+def compare(df, con, sql: str) -> tuple[list[tuple], list[str]]:
+    """Rows of the Spark result and a list of differences from the SQL result."""
+    rows = [tuple(r) for r in df.collect()]
+    result = con.execute(sql)
+    names = [d[0] for d in result.description]
+    kinds = {d[0]: str(d[1]) for d in result.description}
+    want = result.fetchall()
+    if sorted(names) != sorted(df.columns):
+        return rows, [f"columns {sorted(df.columns)} vs {sorted(names)}"]
+    problems = [f"type {c}: {t} vs {kinds[c]}" for c, t in df.dtypes if TYPES.get(t) != kinds[c]]
+    order = [names.index(c) for c in df.columns]
+    got = sorted(tuple(norm(v) for v in r) for r in rows)
+    expected = sorted(tuple(norm(r[i]) for i in order) for r in want)
+    if len(got) != len(expected):
+        problems.append(f"rows {len(got)} vs {len(expected)}")
+    if got != expected:
+        show = lambda a, b: str([[x[1] for x in r] for r in a if r not in set(b)][:2])[:900]
+        problems.append(f"values\n   spark {show(got, expected)}\n   duck  {show(expected, got)}")
+    return rows, problems
+
+
 def main() -> int:
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="0.01")
@@ -40,57 +67,28 @@ def main() -> int:
     ap.add_argument("names", nargs="*")
     args = ap.parse_args()
     folder = f"/root/testdata/sf{args.sf}"
-    spark = build_session(master=f"local[{args.cpus}]", spark__sql__shuffle__partitions="8", spark__driver__memory="8g", spark__ui__showConsoleProgress="false")
+    spark = build_session(
+        master=f"local[{args.cpus}]", spark__sql__shuffle__partitions="8", spark__driver__memory="8g", spark__ui__showConsoleProgress="false"
+    )
     spark.sparkContext.setLogLevel("ERROR")
-    con = duckdb.connect()
-    for t in TABLES:
-        con.execute(f"create view {t} as select * from '{folder}/{t}.parquet'")
-    sql = plans.oracle_sql()
-    bad = 0
-    for name, fn in plans.queries().items():
+    con, sql, bad = connect(folder), plans.oracle_sql(), 0
+    for name, run in plans.queries().items():
         if args.names and not any(name.startswith(n) for n in args.names):
             continue
         start = time.time()
         try:
-            df = fn(spark, folder)
-            rows = [tuple(r) for r in df.collect()]
-            took = time.time() - start
-            if name not in sql:
-                print(f"ROWS {name}: {len(rows)} rows {took:.1f}s {df.dtypes}"[:300], flush=True)
-                bad += not rows
-                continue
-            start = time.time()
-            res = con.execute(sql[name])
-            cols = [d[0] for d in res.description]
-            kinds = {d[0]: str(d[1]) for d in res.description}
-            want = res.fetchall()
-            took2 = time.time() - start
-            problems = []
-            if sorted(cols) != sorted(df.columns):
-                problems.append(f"columns {sorted(df.columns)} vs {sorted(cols)}")
+            df = run(spark, folder)
+            if name in sql:
+                rows, problems = compare(df, con, sql[name])
             else:
-                for c, t in df.dtypes:
-                    if TYPES.get(t) != kinds[c]:
-                        problems.append(f"type {c}: {t} vs {kinds[c]}")
-                order = [cols.index(c) for c in df.columns]
-                got = sorted(tuple(norm(v) for v in r) for r in rows)
-                exp = sorted(tuple(norm(r[i]) for i in order) for r in want)
-                if len(got) != len(exp):
-                    problems.append(f"rows {len(got)} vs {len(exp)}")
-                if got != exp:
-                    only = [r for r in got if r not in set(exp)][:2]
-                    other = [r for r in exp if r not in set(got)][:2]
-                    problems.append(f"values\n   spark {str([[x[1] for x in r] for r in only])[:900]}\n   duck  {str([[x[1] for x in r] for r in other])[:900]}")
-                if not rows:
-                    problems.append("empty")
-            print(f"{'FAIL' if problems else 'OK  '} {name}: {len(rows)} rows spark {took:.1f}s duck {took2:.1f}s {'; '.join(problems)}", flush=True)
+                rows, problems = df.collect(), []
+            problems += [] if rows else ["empty"]
+            state = "FAIL" if problems else ("OK  " if name in sql else "ROWS")
+            print(f"{state} {name}: {len(rows)} rows {time.time() - start:.1f}s {'; '.join(problems)}", flush=True)
             bad += bool(problems)
-        except Exception as e:
+        except Exception as e:  # reported, the run goes on
             bad += 1
-            text = str(e)
-            print(f"ERR  {name}: {type(e).__name__} {text[:700]}", flush=True)
-            if os.environ.get("TRACE"):
-                traceback.print_exc()
+            print(f"ERR  {name}: {type(e).__name__} {str(e)[:700]}", flush=True)
     print("bad:", bad)
     return bad
 
