@@ -110,20 +110,21 @@ def extract_sources(answer: str | Column) -> Column:
 
 
 def parse_model_json(
-    c: str | Column,
+    df: DataFrame,
+    c: str,
     schema: T.StructType,
     enums: Mapping[str, Sequence[str]] | None = None,
     max_words: Mapping[str, int] | None = None,
-) -> tuple[Column, Column]:
-    """Parsed struct and an array of problems; bad rows are flagged, never dropped.
+) -> DataFrame:
+    """Add ``parsed`` and ``problems``; bad rows are flagged, never dropped.
 
     Problems: ``bad_json``, ``missing:<field>``, ``enum:<field>``, ``long:<field>``.
     """
-    parsed = F.from_json(col(c), schema)
-    # A permissive parse yields all-null fields for broken text; a probe for one corrupt column tells it apart.
-    probe = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
-    corrupt = F.from_json(col(c), probe, {"columnNameOfCorruptRecord": "_corrupt"})["_corrupt"].isNotNull()
-    bad = col(c).isNull() | (strip(c) == "") | corrupt
+    # Parsed once; the corrupt-record field tells broken text from absent fields.
+    whole = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
+    df = df.withColumn("__p", F.from_json(F.col(c), whole, {"columnNameOfCorruptRecord": "_corrupt"}))
+    parsed = F.col("__p")
+    bad = F.col(c).isNull() | (strip(c) == "") | parsed["_corrupt"].isNotNull()
     checks = [F.when(bad, F.lit("bad_json"))]
     for f in schema.fieldNames():
         checks.append(F.when(~bad & parsed[f].isNull(), F.lit(f"missing:{f}")))
@@ -131,7 +132,8 @@ def parse_model_json(
         checks.append(F.when(~bad & ~parsed[f].isin(*allowed), F.lit(f"enum:{f}")))
     for f, limit in (max_words or {}).items():
         checks.append(F.when(~bad & (F.size(words(parsed[f])) > limit), F.lit(f"long:{f}")))
-    return parsed, F.array_compact(F.array(*checks))
+    fields = F.struct(*[parsed[f].alias(f) for f in schema.fieldNames()])
+    return df.withColumns({"parsed": fields, "problems": F.array_compact(F.array(*checks))}).drop("__p")
 
 
 def prompt_block(c: str | Column) -> Column:

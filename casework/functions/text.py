@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 # Fixed values.
 BLANKS = "[ \\t\\r\\n\\f]+"
+BLANK_CHARS = " \t\r\n\f"
 NON_LETTERS = "[^a-z]+"
 MIN_TERM_LENGTH = 3
 
@@ -20,7 +21,7 @@ def col(c: str | Column) -> Column:
 
 def strip(c: str | Column) -> Column:
     """Remove blanks, tabs and line ends on both sides (``trim`` removes spaces only)."""
-    return F.regexp_replace(col(c), f"^{BLANKS}|{BLANKS}$", "")
+    return F.btrim(col(c), F.lit(BLANK_CHARS))
 
 
 def words(c: str | Column) -> Column:

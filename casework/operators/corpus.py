@@ -28,6 +28,16 @@ def _windows(tokens: Column, size: int, step: int) -> Column:
     )
 
 
+def _exploded(df: DataFrame, *columns: str | Column) -> DataFrame:
+    """One row per element of ``__c``.
+
+    The outer form with a null check gives the same rows as the plain one, but keeps Catalyst
+    from adding a ``size(array) > 0`` filter that would compute the whole array a second time.
+    """
+    rows = df.select(*columns, F.posexplode_outer("__c").alias("chunk_index", "content"))
+    return rows.where(F.col("chunk_index").isNotNull())
+
+
 def chunk_fixed(
     df: DataFrame,
     doc: str,
@@ -44,7 +54,7 @@ def chunk_fixed(
     tokens = df.withColumn("__w", tokenise(F.col(text)))
     kept = F.filter(_windows(F.col("__w"), size, size - overlap), lambda c: F.length(strip(c)) > MIN_CHUNK_CHARS)
     rest = [c for c in df.columns if c != text]
-    chunks = tokens.withColumn("__c", kept).select(*rest, F.posexplode("__c").alias("chunk_index", "content"))
+    chunks = _exploded(tokens.withColumn("__c", kept), *rest)
     return chunks.withColumns(
         {
             "id": chunk_id(F.col(doc).cast("string"), "chunk_index"),
@@ -67,7 +77,7 @@ def chunk_ratio(
     rest = [c for c in df.columns if c != text]
     n = F.size("__w")
     parts = tokens.withColumns({"__c": _windows(F.col("__w"), size, step), "__n": n})
-    chunks = parts.select(*rest, "__n", F.size("__c").alias("total_chunks"), F.posexplode("__c").alias("chunk_index", "content"))
+    chunks = _exploded(parts, *rest, "__n", F.size("__c").alias("total_chunks"))
     return chunks.withColumns(
         {
             "id": chunk_id(F.col(doc).cast("string"), "chunk_index", "md5"),

@@ -9,6 +9,7 @@ from casework.functions import hooks, scalars
 from casework.operators import corpus
 from casework.plans.bindings import SQL_CHUNKS, chunks, sql_strip, sql_words
 from casework.plans.registry import query
+from casework.sources.files import spread
 
 
 @query(
@@ -40,7 +41,7 @@ SELECT md5(doc_id::VARCHAR || '::' || i::VARCHAR) AS id, doc_id, i::BIGINT AS ch
        len(part)::BIGINT AS token_count, md5(array_to_string(part, ' ')) AS content_md5 FROM ratio""",
 )
 def _(t):
-    out = corpus.chunk_ratio(t.documents.select("doc_id", "text"), "doc_id", "text")
+    out = corpus.chunk_ratio(spread(t.documents).select("doc_id", "text"), "doc_id", "text")
     return out.select("id", "doc_id", "chunk_index", "total_chunks", "token_count", F.md5("content").alias("content_md5"))
 
 
@@ -72,7 +73,7 @@ SQL_NORMAL = rf"regexp_replace(lower({sql_strip('text')}), '[ \t\r\n\f]+', ' ',
 QUALIFY row_number() OVER (PARTITION BY text_hash ORDER BY doc_id DESC) = 1""",
 )
 def _(t):
-    out = corpus.dedupe_docs(t.documents, "text", [F.col("doc_id").desc()])
+    out = corpus.dedupe_docs(spread(t.documents), "text", [F.col("doc_id").desc()])
     return out.select("doc_id", "text_hash")
 
 
@@ -87,7 +88,7 @@ def _(t):
 FROM (SELECT doc_id, {sql_strip('text')} AS s FROM documents)""",
 )
 def _(t):
-    return corpus.quality_check(t.documents, "text").select("doc_id", "flags")
+    return corpus.quality_check(spread(t.documents), "text").select("doc_id", "flags")
 
 
 @query(
@@ -116,7 +117,7 @@ SELECT coalesce(doc_id::VARCHAR, 'total') AS document, count(*) AS chunks, ceil(
 FROM ratio GROUP BY ROLLUP (doc_id)""",
 )
 def _(t):
-    out = corpus.dry_run(corpus.chunk_ratio(t.documents.select("doc_id", "text"), "doc_id", "text"), "doc_id")
+    out = corpus.dry_run(corpus.chunk_ratio(spread(t.documents).select("doc_id", "text"), "doc_id", "text"), "doc_id")
     return out.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("total")).alias("document"), "chunks", "batches")
 
 
@@ -183,7 +184,7 @@ SELECT md5(doc_id::VARCHAR || '::' || i::VARCHAR) AS id, source AS title, md5(ar
        i::BIGINT AS "chunkIndex", total_chunks::BIGINT AS "totalChunks" FROM ratio""",
 )
 def _(t):
-    out = corpus.chunk_ratio(t.documents.select("doc_id", "source", "text"), "doc_id", "text")
+    out = corpus.chunk_ratio(spread(t.documents).select("doc_id", "source", "text"), "doc_id", "text")
     rows = out.select(
         "id",
         F.col("source").alias("title"),
@@ -273,8 +274,9 @@ def _(t):
         .otherwise(F.col("props"))
     )
     schema = T.StructType([T.StructField("k", T.StringType())])
-    parsed, problems = scalars.parse_model_json(raw, schema, {"k": ["0", "1", "2", "3", "4"]}, {"k": 20})
-    return t.events.select("event_id", parsed["k"].alias("k"), problems.alias("problems"))
+    rows = t.events.select("event_id", raw.alias("raw"))
+    out = scalars.parse_model_json(rows, "raw", schema, {"k": ["0", "1", "2", "3", "4"]}, {"k": 20})
+    return out.select("event_id", F.col("parsed.k").alias("k"), "problems")
 
 
 PROMPT = "# Prompt\n\n```\nContext:\n{retrieved_chunks}\n\nQuestion: {user_query}\n```\n"

@@ -10,6 +10,7 @@ from casework.plans.measures import NUMERIC, SQL_LABELLED, labelled
 from casework.plans.registry import query
 from casework.plans.relations import SQL_SCORED, scored
 from casework.session import materialise
+from casework.sources.files import spread
 
 
 @query(
@@ -105,7 +106,7 @@ def _(t):
 
 def training(t):
     """Line items as labelled rows, written once: the trainers read it many times."""
-    keyed = t.lineitem.withColumn("key", F.concat_ws("/", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
+    keyed = spread(t.lineitem).withColumn("key", F.concat_ws("/", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
     data = models.assemble(keyed, NUMERIC, F.col("l_returnflag") == "R", keep=["key", "l_shipdate"])
     return features.split(materialise(data, "training"), 0.3, key="key")
 
@@ -181,7 +182,7 @@ def _(t):
 
 @query("m17_rfe")
 def _(t):
-    return models.rfe(t.lineitem, NUMERIC, F.col("l_returnflag") == "R", numTrees=5, maxDepth=4)
+    return models.rfe(spread(t.lineitem), NUMERIC, F.col("l_returnflag") == "R", numTrees=5, maxDepth=4)
 
 
 @query("m18_search")

@@ -8,6 +8,7 @@ from casework.operators import context, filters, retrieval, routing
 from casework.plans.bindings import SQL_CHUNKS, chunks, sql_strip, sql_terms
 from casework.plans.registry import query
 from casework.session import materialise
+from casework.sources.files import spread
 
 
 def questions(t):
@@ -26,7 +27,7 @@ def vectors(t):
 
 def vector_documents(t):
     """Documents that have a vector, with audience and category."""
-    docs = t.documents.select(
+    docs = spread(t.documents).select(
         F.col("doc_id").alias("id"),
         F.col("text").alias("content"),
         F.when(F.col("lang") == "en", "customer").otherwise("internal").alias("audience"),
@@ -194,7 +195,7 @@ FROM (SELECT doc_id, list_filter(s, lambda x: list_has_any({sql_terms('x')}, qt)
 )
 def _(t):
     question = F.concat(F.lit("the report for "), F.col("source"), F.lit(" about data and system"))
-    out = t.documents.select("doc_id", context.highlights(question, "text", 3).alias("highlights"))
+    out = spread(t.documents).select("doc_id", context.highlights(question, "text", 3).alias("highlights"))
     return out.select("doc_id", F.size("highlights").alias("n"), "highlights")
 
 

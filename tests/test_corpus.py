@@ -105,10 +105,10 @@ def test_default_embedding_has_unit_length(spark):
 
 def test_model_json_is_flagged_never_dropped(spark):
     df = spark.read.schema("id int, output string").json("tests/fixtures/labelled_incidents.json")
-    parsed, problems = scalars.parse_model_json(
-        "output", INCIDENT_LABEL, {"severity": SEVERITIES, "category": CATEGORIES}, {"urgency_note": URGENCY_NOTE_WORDS}
+    out = scalars.parse_model_json(
+        df, "output", INCIDENT_LABEL, {"severity": SEVERITIES, "category": CATEGORIES}, {"urgency_note": URGENCY_NOTE_WORDS}
     )
-    got = {r.id: r.p for r in df.select("id", problems.alias("p")).collect()}
+    got = {r.id: r.p for r in out.select("id", F.col("problems").alias("p")).collect()}
     assert got == {1: [], 2: ["enum:severity"], 3: ["bad_json"], 4: ["missing:regulatory_flag", "long:urgency_note"]}
 
 
