@@ -232,9 +232,25 @@ def knn_approx(
     return scored.withColumn("rank", F.row_number().over(best).cast("long")).where(F.col("rank") <= k)
 
 
-def keyword_index(chunks: DataFrame, id: str = "id", text: str = "content", tokenise: Callable[[Column], Column] = terms) -> DataFrame:
-    """Search terms and length per chunk; write it once as a table and search it many times."""
-    return chunks.select(F.col(id).alias("id"), tokenise(F.col(text)).alias("terms")).withColumn("length", F.size("terms"))
+def keyword_index(
+    chunks: DataFrame, id: str = "id", text: str = "content", keep: Sequence[str] = (), tokenise: Callable[[Column], Column] = terms
+) -> DataFrame:
+    """Distinct terms with their counts (``postings``) and the length per chunk.
+
+    Built inside each row, without a shuffle: terms are sorted and a count is the distance
+    between two run starts. Write it once as a table and search it many times. ``keep`` names
+    tag columns (audience, category) that searches filter on.
+    """
+    n = F.size("__s")
+    at = lambda i: F.element_at(F.col("__s"), i)
+    starts = F.when(n > 0, F.filter(F.sequence(F.lit(1), n), lambda i: (i == 1) | (at(i) != at(F.greatest(i - 1, F.lit(1)))))).otherwise(
+        F.array().cast("array<int>")
+    )
+    counted = F.transform(
+        "__i", lambda p, j: F.struct(at(p).alias("term"), (F.coalesce(F.get(F.col("__i"), j + 1), n + 1) - p).alias("tf"))
+    )
+    split = chunks.select(F.col(id).alias("id"), *keep, F.sort_array(tokenise(F.col(text))).alias("__s"))
+    return split.withColumn("__i", starts).select("id", *keep, n.alias("length"), counted.alias("postings"))
 
 
 def bm25(
@@ -250,9 +266,10 @@ def bm25(
 ) -> DataFrame:
     """Keyword ranking: ``(q_id, id, score, rank)`` with scores rounded to 6 digits.
 
-    Only postings of question terms leave the scan. They are hashed by chunk id, which is even
-    however common a term is; the questions' terms are a counted, broadcast side, so scores
-    add up without a further shuffle, and the rank cut starts in every task.
+    Only postings of question terms leave the scan of a :func:`keyword_index`. They are hashed by
+    chunk id, which is even however common a term is; the questions' terms are a counted,
+    broadcast side, so scores add up without a further shuffle, and the rank cut starts in every
+    task.
     """
     asked = queries.select(F.col(query_id).alias("q_id"), F.explode(F.array_distinct(tokenise(F.col(text)))).alias("term"))
     stats = index.agg(F.count(F.lit(1)).alias("n"), F.avg("length").alias("avg_length"))
@@ -260,11 +277,10 @@ def bm25(
     vocabulary = asked.select("term").distinct()
     vocabulary = F.broadcast(vocabulary) if few else vocabulary
     postings = (
-        index.select("id", "length", F.explode("terms").alias("term"))
+        index.select("id", "length", F.explode("postings").alias("p"))
+        .select("id", "length", "p.term", "p.tf")
         .join(vocabulary, "term", "left_semi")
         .repartition("id")
-        .groupBy("id", "length", "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
     )
     n, avg_length = stats.select("n").scalar(), stats.select("avg_length").scalar()
     df = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
@@ -324,16 +340,19 @@ def hybrid_search(
     scorer: Callable[[Column, Column], Column] = term_share,
     threshold_on: str = "cosine",
     threshold: float | None = None,
+    index: DataFrame | None = None,
 ) -> DataFrame:
     """Filter → vector and keyword candidates → fusion → re-rank → top k → threshold.
 
     ``queries`` has ``q_id, text, vector``; ``chunks`` has ``id, content, vector, audience,
     category``. The threshold names its score column (``cosine``, ``fused`` or
-    ``reranker_score``); ``None`` keeps all top k.
+    ``reranker_score``); ``None`` keeps all top k. ``index`` is a stored :func:`keyword_index`
+    with the tag columns; without it texts are split on the fly.
     """
     allowed = audience_filter(chunks, audience, category)
     near = knn_exact(queries, allowed, k, over)
-    found = bm25(queries, keyword_index(allowed), k * over)
+    stored = keyword_index(allowed) if index is None else audience_filter(index, audience, category)
+    found = bm25(queries, stored, k * over)
     fused = rrf([near, found])
     cosine = near.select("q_id", "id", F.col("score").alias("cosine"))
     candidates = fused.join(cosine, ["q_id", "id"], "left")

@@ -106,10 +106,17 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY reranker_scor
 """
 
 
+def search_tables(t):
+    """Documents with vectors, and their keyword index, each written once and searched many times."""
+    docs = materialise(vector_documents(t), "documents")
+    return docs, materialise(retrieval.keyword_index(docs, keep=["audience", "category"]), "keyword-index")
+
+
 def runs(t):
-    allowed = filters.audience_filter(vector_documents(t))
+    docs, index = search_tables(t)
+    allowed = filters.audience_filter(docs)
     near = retrieval.knn_exact(vector_questions(t), allowed, k=5, over=3)
-    found = retrieval.bm25(vector_questions(t), retrieval.keyword_index(allowed), k=15)
+    found = retrieval.bm25(vector_questions(t), filters.audience_filter(index), k=15)
     return allowed, near, found
 
 
@@ -128,7 +135,8 @@ def _(t):
 
 
 def search(t, **options):
-    return retrieval.hybrid_search(vector_questions(t), vector_documents(t), **options)
+    docs, index = search_tables(t)
+    return retrieval.hybrid_search(vector_questions(t), docs, index=index, **options)
 
 
 @query(
