@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from casework.session import estimated_bytes
+from casework.session import estimated_bytes, has_shuffle, materialise
 
 SEGMENTS = 512
 SAMPLES_PER_SEGMENT = 32
@@ -88,6 +88,8 @@ def running(
     limit = SPLIT_BYTES if split_bytes is None else split_bytes
     cuts: list = []
     if estimated_bytes(df) > limit:
+        # Cut points, edges and rows are three readings; a shuffled input is written once instead.
+        df = materialise(df, "ordered") if has_shuffle(df) else df
         plain = _sortable(df, order)
         cuts, schema = cut_points(df, keys, plain, segments, samples)
     if not cuts:

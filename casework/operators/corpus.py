@@ -113,8 +113,8 @@ def chunk_by_key(
 def dedupe_docs(df: DataFrame, text: str, newest: Sequence[Column]) -> DataFrame:
     """One row per normalised text: the newest.
 
-    Hashes travel instead of texts; one row per hash is kept before the shuffle, so a text
-    copied many times does not fill one task.
+    One row per hash is kept in every task before the shuffle, so a text copied many times does
+    not fill one task. Only the columns selected afterwards travel: keep ids to keep texts still.
     """
     hashed = df.withColumn("text_hash", F.md5(normalised(text)))
     w = Window.partitionBy("text_hash").orderBy(*newest)

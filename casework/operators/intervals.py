@@ -131,7 +131,7 @@ def first_ack(
     back = lambda c: -F.unix_micros(F.col(c).cast("timestamp"))
     left = incidents.select(F.col(key), back(ts).alias("__t"), F.lit(1).alias("__k"), F.col(id).cast("string").alias("__i"), F.lit(None).cast(acks.schema[ts].dataType).alias("__a"), F.struct(*incidents.columns).alias("__row"))
     right = acks.select(F.col(key), back(ts).alias("__t"), F.lit(0).alias("__k"), F.lit("").alias("__i"), F.col(ts).alias("__a"), F.lit(None).cast(left.schema["__row"].dataType).alias("__row"))
-    merged = running(left.unionByName(right.distinct()), [key], ["__t", "__k", "__i"], __next=("last", "__a"), **split)
+    merged = running(left.unionByName(right), [key], ["__t", "__k", "__i"], __next=("last", "__a"), **split)
     out = merged.where("__k = 1").select("__row.*", F.col("__next").alias("acked_at"))
     minutes = (F.unix_micros(F.col("acked_at").cast("timestamp")) - F.unix_micros(F.col(ts).cast("timestamp"))) / 60_000_000
     limit = F.lit(None).cast("double")

@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
@@ -51,7 +52,7 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     flat = column.flatten().to_numpy(zero_copy_only=False)
-    if len(flat) != len(column) * dim:
+    if not pc.all(pc.equal(pc.list_value_length(column), dim)).as_py():
         raise ValueError(f"vectors must all have {dim} elements")
     return flat.astype(np.float64).reshape(len(column), dim)
 
@@ -88,26 +89,22 @@ def knn_exact(
         return c.sparkSession.createDataFrame([], out).withColumn("rank", F.lit(1).cast("long"))
     dim = first[0].d
     bound = max(1, query_floats // dim)
-    rows = q.limit(bound + 1).collect()
-    if len(rows) <= bound:
-        scored = _knn_broadcast(c, [r.q_id for r in rows], [r.vector for r in rows], dim, want, out)
+    asked = q.limit(bound + 1).toArrow()
+    if asked.num_rows <= bound:
+        scored = _knn_broadcast(c, asked, dim, want, out)
     else:
         scored = _knn_blocked(q, c, dim, want, out, block_rows)
     best = Window.partitionBy("q_id").orderBy(F.col("score").desc(), "id")
     return scored.withColumn("rank", F.row_number().over(best).cast("long")).where(F.col("rank") <= want)
 
 
-def _knn_broadcast(corpus, ids, vectors, dim, want, out) -> DataFrame:
+def _knn_broadcast(corpus: DataFrame, asked: pa.Table, dim: int, want: int, out: T.StructType) -> DataFrame:
     sc = corpus.sparkSession.sparkContext
-    lengths = {len(v) for v in vectors}
-    if lengths != {dim}:
-        raise ValueError(f"vectors must all have {dim} elements, found {sorted(lengths)}")
-    shared = sc.broadcast(np.asarray(vectors, dtype=np.float64))
-    q_ids = sc.broadcast(ids)
+    shared = sc.broadcast((_matrix(asked.column("vector"), dim), asked.column("q_id").combine_chunks()))
     arrow = pa.schema([("q_id", _arrow(out["q_id"].dataType)), ("id", _arrow(out["id"].dataType)), ("score", pa.float64())])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matrix, names = shared.value, pa.array(q_ids.value, type=arrow.field("q_id").type)
+        matrix, names = shared.value
         floor = np.full(len(matrix), -np.inf)
         for batch in batches:
             if not batch.num_rows:

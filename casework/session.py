@@ -72,6 +72,11 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def has_shuffle(df: DataFrame) -> bool:
+    """True when computing ``df`` needs a shuffle, so that computing it twice is worth avoiding."""
+    return "Exchange" in df._jdf.queryExecution().executedPlan().toString()
+
+
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     """True when ``df`` is proven to have at most ``rows`` rows."""
     return df.limit(rows + 1).count() <= rows

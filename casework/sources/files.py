@@ -28,7 +28,7 @@ def spread(df: DataFrame) -> DataFrame:
     changes nothing and adds no shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if 0 < len(df.inputFiles()) < cores and df.rdd.getNumPartitions() < 2 * cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def scan_files(spark: SparkSession, path: str, suffixes: Sequence[str] = (".txt",)) -> DataFrame:
