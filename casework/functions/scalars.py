@@ -10,12 +10,15 @@ from pyspark.sql import types as T
 
 from casework.functions.ordered import running
 from casework.functions.text import col, strip, words
+from casework.schemas import AUDIT_RECORD, BANDS
 
 # Fixed values.
 DEFAULT_CATEGORY = "general"
 DEFAULT_AUDIENCE = "internal"
 ANONYMOUS = "anonymous"
 QUERY_CHARS, RESPONSE_CHARS, CITATION_CHARS, SUMMARY_CHARS = 255, 5000, 2000, 500
+AUDIT_LENGTHS = {"query": 5000, "response": 32000}
+MAX_SCORE = 4.0
 
 
 def chunk_id(name: str | Column, index: str | Column, style: str = "sha256") -> Column:
@@ -92,6 +95,34 @@ def audit_projection(df: DataFrame) -> DataFrame:
     )
 
 
+def audit_list_row(df: DataFrame) -> DataFrame:
+    """Row of the compliance list, from an audit record with user, SME and environment columns."""
+    return df.select(
+        F.coalesce(F.nullif(F.col("session_id"), F.lit("")), F.lit(ANONYMOUS)).alias("SessionID"),
+        F.col("user_upn").alias("UserUPN"),
+        F.col("timestamp").alias("Timestamp"),
+        F.col("query").alias("QueryText"),
+        F.substring("response", 1, SUMMARY_CHARS).alias("ResponseSummary"),
+        F.array_join(F.array_distinct(F.transform("citations", lambda c: c["title"])), "; ").alias("SourceDocuments"),
+        F.col("confidence_band").alias("ConfidenceBand"),
+        F.when(F.col("escalated"), F.col("sme")).otherwise("").alias("EscalatedTo"),
+        F.col("environment").alias("EnvironmentName"),
+    )
+
+
+def audit_problems() -> Column:
+    """Breaches of the audit record contract: missing fields, lengths, band, score range, citations."""
+    checks = [F.when(F.col(f).isNull(), F.lit(f"missing:{f}")) for f in AUDIT_RECORD.fieldNames()]
+    checks += [F.when(F.length(c) > n, F.lit(f"long:{c}")) for c, n in AUDIT_LENGTHS.items()]
+    checks += [
+        F.when(~F.col("confidence_band").isin(*BANDS), F.lit("enum:confidence_band")),
+        F.when(~F.col("top_score").between(0, MAX_SCORE), F.lit("range:top_score")),
+        F.when(F.exists("citations", lambda c: c["title"].isNull() | c["source_url"].isNull() | (F.coalesce(c["chunk_index"], F.lit(-1)) < 0)), F.lit("citation")),
+        F.when(F.col("escalated") & (F.size("citations") > 0), F.lit("cited_when_escalated")),
+    ]
+    return F.array_compact(F.array(*checks))
+
+
 def extract_number(c: str | Column) -> Column:
     """Number left after keeping digits and dots; null when none can be read."""
     kept = F.regexp_replace(col(c).cast("string"), "[^0-9.]", "")

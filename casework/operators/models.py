@@ -183,8 +183,21 @@ def _evaluator(metric: str) -> MulticlassClassificationEvaluator:
     return MulticlassClassificationEvaluator(metricName=METRICS.get(metric, metric), metricLabel=1.0)
 
 
-def grid_search(df: DataFrame, estimator: Estimator, grid: Mapping[str, Sequence], folds: int = 5, metric: str = "accuracy", parallelism: int = 4, seed: int = 42) -> CrossValidatorModel:
-    """Cross-validated search over a full grid of parameter names and values."""
+def search_logistic(df: DataFrame, folds: int = 5, metric: str = "accuracy", parallelism: int = 4, seed: int = 42, max_iter: int = 100) -> CrossValidatorModel:
+    """Search over C and penalty: none, l1, l2 and elastic net with three mixing ratios."""
+    n = max(1, df.count())
+    lr = LogisticRegression(maxIter=max_iter, standardization=False)
+    penalised = [{lr.regParam: 1.0 / (c * n), lr.elasticNetParam: mix} for c in LOGISTIC_C for mix in (0.0, *L1_RATIOS, 1.0)]
+    return _validated(df, lr, [{lr.regParam: 0.0, lr.elasticNetParam: 0.0}, *penalised], folds, metric, parallelism, seed)
+
+
+def grid_search(df: DataFrame, estimator: Estimator, grid: Mapping[str, Sequence] | None = None, folds: int = 5, metric: str = "accuracy", parallelism: int = 4, seed: int = 42) -> CrossValidatorModel:
+    """Cross-validated search over a full grid of parameter names and values.
+
+    Trees and forests have a default grid.
+    """
+    if grid is None:
+        grid = TREE_GRID if isinstance(estimator, DecisionTreeClassifier) else FOREST_GRID
     builder = ParamGridBuilder()
     for name, values in grid.items():
         builder = builder.addGrid(estimator.getParam(name), list(values))

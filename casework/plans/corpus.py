@@ -222,6 +222,58 @@ def _(t):
     return out.withColumn("response_md5", F.md5("response")).drop("response")
 
 
+def audit_turns(t):
+    """Conversation turns as audit records, some of them in breach of the contract."""
+    turn, conv = F.col("turn"), F.col("conv_id")
+    cite = F.struct(
+        F.concat(F.lit("title "), (turn % 2).cast("string")).alias("title"),
+        F.col("role").alias("source_url"),
+        (turn - 1).cast("int").alias("chunk_index"),
+    )
+    return t.conversations.select(
+        "conv_id",
+        "turn",
+        F.lit("2026-01-01T00:00:00+00:00").alias("timestamp"),
+        F.when(conv % 7 != 0, conv.cast("string")).alias("session_id"),
+        F.repeat("text", F.when(turn == 1, 40).otherwise(1)).alias("query"),
+        F.col("text").alias("response"),
+        F.when(turn % 5 == 4, "Low").when(turn % 2 == 0, "High").otherwise("Escalated").alias("confidence_band"),
+        (turn * 1.0).alias("top_score"),
+        (turn % 2 == 1).alias("escalated"),
+        F.when(turn % 4 == 1, F.array().cast("array<struct<title:string,source_url:string,chunk_index:int>>")).otherwise(F.array(cite, cite)).alias("citations"),
+        F.concat(F.col("role"), F.lit("@example.org")).alias("user_upn"),
+        F.lit("on-duty expert").alias("sme"),
+        F.lit("Test").alias("environment"),
+    )
+
+
+@query(
+    "p7_audit_list",
+    """SELECT conv_id, turn, CASE WHEN conv_id % 7 = 0 THEN 'anonymous' ELSE conv_id::VARCHAR END AS "SessionID", role || '@example.org' AS "UserUPN",
+  substring(text, 1, 500) AS "ResponseSummary", CASE WHEN turn % 4 = 1 THEN '' ELSE 'title ' || (turn % 2)::VARCHAR END AS "SourceDocuments",
+  CASE WHEN turn % 2 = 1 THEN 'on-duty expert' ELSE '' END AS "EscalatedTo" FROM conversations""",
+)
+def _(t):
+    rows = audit_turns(t).withColumn("environment", F.concat_ws("/", "conv_id", "turn"))
+    out = scalars.audit_list_row(rows)
+    key = F.split("EnvironmentName", "/")
+    return out.select(
+        key[0].cast("long").alias("conv_id"), key[1].cast("long").alias("turn"), "SessionID", "UserUPN", "ResponseSummary", "SourceDocuments", "EscalatedTo"
+    )
+
+
+@query(
+    "p11_audit_problems",
+    """SELECT conv_id, turn, array_to_string(list_filter([CASE WHEN conv_id % 7 = 0 THEN 'missing:session_id' END,
+  CASE WHEN turn = 1 AND length(text) * 40 > 5000 THEN 'long:query' END, CASE WHEN length(text) > 32000 THEN 'long:response' END,
+  CASE WHEN turn % 5 = 4 THEN 'enum:confidence_band' END, CASE WHEN turn > 4 THEN 'range:top_score' END,
+  CASE WHEN turn % 4 <> 1 AND turn = 0 THEN 'citation' END, CASE WHEN turn % 2 = 1 AND turn % 4 <> 1 THEN 'cited_when_escalated' END], lambda x: x IS NOT NULL), '|') AS problems
+FROM conversations""",
+)
+def _(t):
+    return audit_turns(t).select("conv_id", "turn", scalars.audit_problems().alias("problems"))
+
+
 @query(
     "p8_extract_number",
     """SELECT p_partkey, try_cast(nullif(regexp_replace(p_name || ' ' || p_brand, '[^0-9.]', '', 'g'), '') AS DOUBLE) AS number FROM part""",

@@ -35,7 +35,7 @@ def norm(v):
     if isinstance(v, bool):
         return (1, str(v))
     if isinstance(v, (int, float)):
-        return (2, f"{float(v):.9g}" if abs(v) > 1e-12 else "0")
+        return (2, repr(float(v) + 0.0))
     return (3, str(v))
 
 
