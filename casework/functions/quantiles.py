@@ -17,14 +17,13 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[
     distinct values, so a group of any size works. Nulls are ignored.
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
-    if not keys:
-        counts, keys, drop = counts.withColumn("__all", F.lit(0)), ["__all"], True
-    else:
-        drop = False
     placed = running(counts, keys, [value], __upto=("sum", "__n"), **split)
-    totals = counts.groupBy(*keys).agg(F.sum("__n").alias("__total")).toDF(*[f"__t{i}" for i in range(len(keys))], "__total")
-    match = [F.col(k).eqNullSafe(F.col(f"__t{i}")) for i, k in enumerate(keys)]
-    placed = placed.join(totals, match)
+    totals = counts.groupBy(*keys).agg(F.sum("__n").alias("__total"))
+    if keys:
+        totals = totals.toDF(*[f"__t{i}" for i in range(len(keys))], "__total")
+        placed = placed.join(totals, [F.col(k).eqNullSafe(F.col(f"__t{i}")) for i, k in enumerate(keys)])
+    else:
+        placed = placed.withColumn("__total", totals.scalar())
     picks = []
     for name, p in probs.items():
         at = F.lit(float(p)) * (F.col("__total") - 1)
@@ -36,4 +35,4 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[
     out = [
         (F.col(f"__lo_{n}") + (F.col(f"__hi_{n}") - F.col(f"__lo_{n}")) * F.col(f"__f_{n}")).alias(n) for n in probs
     ]
-    return picked.select(*([] if drop else keys), *out)
+    return picked.select(*keys, *out)

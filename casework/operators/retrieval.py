@@ -32,20 +32,28 @@ SCORE_DIGITS = 5
 
 #: Floats of the question matrix that may be sent to every task (64 MB of doubles).
 QUERY_FLOATS = 8_000_000
+#: Questions that may be sent to every task, whatever their dimension.
+MAX_BROADCAST_QUESTIONS = 20_000
+#: Cells of one slice of the score matrix (32 MB).
+SCORE_CELLS = 4_000_000
 #: Rows of one block in the blocked form.
 BLOCK_ROWS = 20_000
 
 
-def _top(matrix: np.ndarray, ids: pa.Array, queries: np.ndarray, k: int, floor: np.ndarray):
-    """Rows (query number, id position, score) that may belong to the top k, ties included.
+def _top(matrix: np.ndarray, queries: np.ndarray, k: int, floor: np.ndarray):
+    """Yield (question numbers, row numbers, scores) that may belong to the top k, ties included.
 
     ``floor`` holds, per question, a score known to be reached by k rows already and is raised.
+    Rows are scored in slices, so the score matrix stays small whatever the number of questions.
     """
-    scores = np.round(matrix @ queries.T, SCORE_DIGITS)
-    if len(scores) >= k:
-        kth = np.partition(scores, len(scores) - k, axis=0)[len(scores) - k]
-        np.maximum(floor, kth, out=floor)
-    return np.nonzero((scores >= floor).T), scores
+    step = max(4 * k, SCORE_CELLS // len(queries))
+    for start in range(0, len(matrix), step):
+        scores = np.round(matrix[start : start + step] @ queries.T, SCORE_DIGITS)
+        if len(scores) >= k:
+            kth = np.partition(scores, len(scores) - k, axis=0)[len(scores) - k]
+            np.maximum(floor, kth, out=floor)
+        asked, rows = np.nonzero((scores >= floor).T)
+        yield asked, rows + start, scores[rows, asked]
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
@@ -88,7 +96,7 @@ def knn_exact(
     if not first:
         return c.sparkSession.createDataFrame([], out).withColumn("rank", F.lit(1).cast("long"))
     dim = first[0].d
-    bound = max(1, query_floats // dim)
+    bound = max(1, min(MAX_BROADCAST_QUESTIONS, query_floats // dim))
     asked = q.limit(bound + 1).toArrow()
     if asked.num_rows <= bound:
         scored = _knn_broadcast(c, asked, dim, want, out)
@@ -109,11 +117,9 @@ def _knn_broadcast(corpus: DataFrame, asked: pa.Table, dim: int, want: int, out:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows, keys = _matrix(batch.column("vector"), dim), batch.column("id")
-            (qi, ri), scores = _top(rows, keys, matrix, want, floor)
-            yield pa.RecordBatch.from_arrays(
-                [names.take(pa.array(qi)), keys.take(pa.array(ri)), pa.array(scores[ri, qi])], schema=arrow
-            )
+            keys = batch.column("id")
+            for asked, rows, scores in _top(_matrix(batch.column("vector"), dim), matrix, want, floor):
+                yield pa.RecordBatch.from_arrays([names.take(pa.array(asked)), keys.take(pa.array(rows)), pa.array(scores)], schema=arrow)
 
     return corpus.mapInArrow(score, out)
 
@@ -134,10 +140,12 @@ def _knn_blocked(q, c, dim, want, out, block_rows) -> DataFrame:
             return arrow.empty_table()
         matrix = _matrix(a.column("vector"), dim)
         floor = np.full(len(matrix), -np.inf)
-        (qi, ri), scores = _top(_matrix(b.column("vector"), dim), b.column("id"), matrix, want, floor)
-        return pa.Table.from_arrays(
-            [a.column("q_id").take(pa.array(qi)), b.column("id").take(pa.array(ri)), pa.array(scores[ri, qi])], schema=arrow
-        )
+        names, keys = a.column("q_id"), b.column("id")
+        parts = [
+            pa.Table.from_arrays([names.take(pa.array(asked)), keys.take(pa.array(rows)), pa.array(scores)], schema=arrow)
+            for asked, rows, scores in _top(_matrix(b.column("vector"), dim), matrix, want, floor)
+        ]
+        return pa.concat_tables(parts)
 
     return left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInArrow(score, out)
 
@@ -188,7 +196,7 @@ def knn_approx(
     q = queries.select(F.col(query_id).alias("q_id"), F.col(vector).alias("vector")).where("vector is not null")
     c = corpus.select(F.col(id).alias("id"), F.col(vector).alias("vector")).where("vector is not null")
     dim = centroids.shape[1]
-    bound = max(1, query_floats // dim)
+    bound = max(1, min(MAX_BROADCAST_QUESTIONS, query_floats // dim))
     rows = q.withColumn("lists", _nearest_lists("vector", centroids, probes)).limit(bound + 1).collect()
     out = T.StructType(
         [T.StructField("q_id", q.schema["q_id"].dataType), T.StructField("id", c.schema["id"].dataType), T.StructField("score", T.DoubleType())]
@@ -218,11 +226,11 @@ def knn_approx(
                     continue
                 here = np.nonzero(lists == lst)[0]
                 low = floor[asked]
-                (qi, ri), scores = _top(vectors[here], keys, all_q[asked], k, low)
+                for who, row, scores in _top(vectors[here], all_q[asked], k, low):
+                    yield pa.RecordBatch.from_arrays(
+                        [names.take(pa.array(asked[who])), keys.take(pa.array(here[row])), pa.array(scores)], schema=arrow
+                    )
                 floor[asked] = low
-                yield pa.RecordBatch.from_arrays(
-                    [names.take(pa.array(asked[qi])), keys.take(pa.array(here[ri])), pa.array(scores[ri, qi])], schema=arrow
-                )
 
     best = Window.partitionBy("q_id").orderBy(F.col("score").desc(), "id")
     scored = listed.mapInArrow(score, out)
