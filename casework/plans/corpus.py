@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from casework.functions import hooks, scalars
 from casework.operators import corpus
-from casework.plans.bindings import SQL_CHUNKS, chunks, sql_strip, sql_words
+from casework.plans.bindings import SQL_CHUNK_IDS, SQL_CHUNKS, chunks, sql_strip, sql_terms, sql_words
 from casework.plans.registry import query
 from casework.sources.files import spread
 
@@ -121,7 +121,11 @@ def _(t):
     return out.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("total")).alias("document"), "chunks", "batches")
 
 
-@query("c8_embed")
+@query(
+    "c8_embed",
+    f"""WITH {SQL_CHUNKS}, {SQL_CHUNK_IDS}
+SELECT id, 256::BIGINT AS dim, CASE WHEN len({sql_terms('content')}) > 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS squared_norm, NULL::VARCHAR AS error FROM chunk_ids""",
+)
 def _(t):
     out = hooks.embed(chunks(t).select("id", "content"))
     norm = F.aggregate("content_vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x)

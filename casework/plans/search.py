@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from casework.operators import context, filters, retrieval, routing
-from casework.plans.bindings import SQL_CHUNKS, chunks, sql_strip, sql_terms
+from casework.plans.bindings import SQL_CHUNK_IDS, SQL_CHUNKS, chunks, sql_strip, sql_terms
 from casework.plans.registry import query
 from casework.session import materialise
 from casework.sources.files import spread
@@ -70,10 +70,6 @@ bm AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY sc
 """
 
 
-SQL_CHUNK_IDS = """chunk_ids AS (
-  SELECT substring(sha256(doc_id::VARCHAR || ':' || chunk_index::VARCHAR), 1, 32) AS id, * FROM chunks)"""
-
-
 @query("r3_bm25", f"WITH {SQL_CHUNKS}, {SQL_CHUNK_IDS}, {sql_bm25('chunk_ids', 10)} SELECT q_id, id, score, rank FROM bm")
 def _(t):
     index = materialise(retrieval.keyword_index(chunks(t)), "keyword-index")

@@ -8,8 +8,8 @@ from pyspark.sql import types as T
 from casework.functions import hooks
 from casework.functions.scalars import build_prompt, extract_sources
 from casework.operators import evaluation
-from casework.plans.bindings import chunks
-from casework.plans.measures import results
+from casework.plans.bindings import SQL_CHUNK_IDS, SQL_CHUNKS, chunks
+from casework.plans.measures import SQL_EVAL, results
 from casework.plans.registry import query
 from casework.session import scratch_path
 from casework.sources import files, sinks
@@ -78,7 +78,10 @@ def _(t):
     return sinks.write_batches(chunks(t).select("id", "doc_id"), len, size=100)
 
 
-@query("s7_write_report")
+@query(
+    "s7_write_report",
+    f"WITH {SQL_EVAL.format(exempt='')} SELECT passed, count(*) AS n, sum(round(latency_ms, 1)) AS ms FROM results GROUP BY passed",
+)
 def _(t):
     path = scratch_path(t.spark, "report")
     scored = results(t)
@@ -97,7 +100,10 @@ def _(t):
     return star.groupBy("n_name", "c_mktsegment").agg(F.count(F.lit(1)).alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("revenue"))
 
 
-@query("u1_custom_embedder")
+@query(
+    "u1_custom_embedder",
+    f"WITH {SQL_CHUNKS}, {SQL_CHUNK_IDS} SELECT id, length(content)::DOUBLE AS chars, NULL::VARCHAR AS error FROM chunk_ids",
+)
 def _(t):
     def lengths(texts):
         return [[float(len(x)), float(x.count(" "))] for x in texts]
