@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from casework.session import materialise, scratch_path
 
-__all__ = ["batches", "column_bytes", "materialise", "scratch_path", "table", "text_or_empty", "words"]
+__all__ = ["batches", "column_bytes", "materialise", "scratch_path", "slices", "table", "text_or_empty", "words"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,12 +32,18 @@ def column_bytes(batch: pa.RecordBatch, name: str) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]
 
 
+def slices(parts: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in slices of at most ``rows`` rows, so that Python holds few values at a time."""
+    for batch in parts:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     """Apply ``fn`` to every Arrow batch of ``df``."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in parts:
-            if batch.num_rows:
-                yield fn(batch)
+        for batch in slices(parts):
+            yield fn(batch)
 
     return df.mapInArrow(run, schema)

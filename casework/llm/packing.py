@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casework.llm import wordbpe
-from casework.llm.common import materialise
+from casework.llm.common import materialise, slices
 
 LENGTH = 2048
 END = 1
@@ -36,7 +36,7 @@ def token_table(docs: DataFrame, id: str, text: str, path: str, end: int = END)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part, total = wordbpe.encoder(path).text, TaskContext.get().partitionId(), 0
         tail = np.asarray([end], dtype="<u2").tobytes()
-        for batch in batches:
+        for batch in slices(batches):
             ids = [encode(x or "") + tail for x in batch.column(1).to_pylist()]
             sizes = np.fromiter((len(x) // 2 for x in ids), dtype=np.int64, count=len(ids))
             ends = total + np.cumsum(sizes)
@@ -58,7 +58,7 @@ def pack(docs: DataFrame, id: str = "doc_id", text: str = "text", path: str | No
     base = np.concatenate([[0], np.cumsum([r.n for r in totals])]).astype(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             part, local, _, doc, ids = (batch.column(i) for i in range(5))
             starts = base[np.searchsorted(parts, part.to_numpy())] + local.to_numpy()
             out: list[list] = [[] for _ in range(7)]

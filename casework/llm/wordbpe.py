@@ -16,7 +16,7 @@ import numpy as np
 import tiktoken
 from tokenizers import Tokenizer
 
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 300_000
 LONGEST_KEPT = 64
 
 #: Words whose lower case and pieces are the same in every library: ASCII and Latin letters without special case rules.
