@@ -1,9 +1,14 @@
 """Queries of this subpackage over the standard tables, and their SQL twins."""
 
-from casework.llm import mixing, packing, quality
+from casework.llm import chat, licenses, mixing, packing, quality, secrets
 
-_QUERIES = [mixing.op1_mixing, quality.op6_quality, packing.op9_packing]
-_SQL = {"op1_mixing": mixing.OP1_SQL, "op6_quality": quality.OP6_SQL}
+_QUERIES = [
+    mixing.op1_mixing, licenses.op2_licenses, chat.op3_chat, quality.op6_quality, secrets.op8_secrets, packing.op9_packing,
+]
+_SQL = {
+    "op1_mixing": mixing.OP1_SQL, "op2_licenses": licenses.OP2_SQL, "op3_chat": chat.OP3_SQL, "op6_quality": quality.OP6_SQL,
+    "op8_secrets": secrets.OP8_SQL,
+}
 
 
 def queries():
