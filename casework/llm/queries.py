@@ -1,9 +1,9 @@
 """Queries of this subpackage over the standard tables, and their SQL twins."""
 
-from casework.llm import chat, licenses, mixing, near, neighbours, packing, pages, quality, secrets
+from casework.llm import chat, licenses, mixing, near, neighbours, packing, pages, quality, scoring, secrets
 
 _QUERIES = [
-    mixing.op1_mixing, licenses.op2_licenses, chat.op3_chat, pages.op4_pages, quality.op6_quality, neighbours.op7_neighbours, secrets.op8_secrets, packing.op9_packing, near.op10_near,
+    mixing.op1_mixing, licenses.op2_licenses, chat.op3_chat, pages.op4_pages, scoring.op5_scoring, quality.op6_quality, neighbours.op7_neighbours, secrets.op8_secrets, packing.op9_packing, near.op10_near,
 ]
 _SQL = {
     "op1_mixing": mixing.OP1_SQL, "op2_licenses": licenses.OP2_SQL, "op3_chat": chat.OP3_SQL, "op6_quality": quality.OP6_SQL,
