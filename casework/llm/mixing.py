@@ -173,3 +173,21 @@ k AS (SELECT *, coalesce(sum(tokens) OVER (PARTITION BY domain, lang, source ORD
 SELECT doc_id, domain, lang, source, tokens, unnest(range(0, whole))::BIGINT AS epoch, tokens AS take, leaf_budget FROM j WHERE whole > 0
 UNION ALL SELECT doc_id, domain, lang, source, tokens, whole, least(tokens, rest - start)::BIGINT, leaf_budget FROM k WHERE start < rest
 """
+
+
+def mixed_documents(docs: DataFrame, budget: int | None = None, epochs: int = EPOCHS) -> DataFrame:
+    """``docs`` (the standard table's columns) as the mixture: a row per epoch that selects it.
+
+    The row at a leaf's boundary keeps the words of its part of the prefix.
+    """
+    names = {c: f"doc_{c}" for c in docs.columns if c not in ("doc_id", "lang", "source")}
+    slim = docs.withColumnsRenamed(names).withColumn("domain", domain_of(F.col("source"))).withColumn("tokens", n_tokens(text_or_empty("doc_text")))
+    mixed = mix(slim, budget=budget, epochs=epochs)
+    cut = F.col("take") < F.col("tokens")
+    found = F.regexp_extract_all("doc_text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    head = F.array_join(F.slice(found, F.lit(1), F.col("take").cast("int")), " ")
+    mixed = mixed.withColumn("head", F.when(cut, head))
+    out = {"text": F.when(cut, F.col("head")).otherwise(F.col("doc_text"))}
+    if "n_chars" in docs.columns:
+        out["n_chars"] = F.when(cut, F.length("head").cast("long")).otherwise(F.col("doc_n_chars"))
+    return mixed.select(*[out[c].alias(c) if c in out else F.col(names.get(c, c)).alias(c) for c in docs.columns])
