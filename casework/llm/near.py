@@ -9,7 +9,8 @@
 3. A second pass keeps each document's prefix in that order. A shingle seen once links nothing,
    so only prefixes holding a repeated shingle are posted. Documents with equal sets are one node.
 4. Nodes that share a prefix shingle are candidates. A group of near copies would have all its
-   pairs, so each posting list is first checked against one leader, and then only pairs
+   pairs, so the nodes of each posting list are first checked against a few members of its largest
+   component, ``STAR_ROUNDS`` times, and then only pairs
    between different components are listed, with length and positional filters. Each pair is
    verified once: a suffix bound from counts per hash range, then the exact overlap.
 5. Components come from label propagation over the links; nothing is collected.
@@ -43,7 +44,7 @@ UP, DOWN = 75, 100
 BITMAP_BITS = 26
 FREQUENT = 1 << 20
 FLUSH = 2_000_000
-STAR_ROUNDS = 3
+STAR_ROUNDS, LEADERS = 4, 4
 KEPT_WORDS = 200_000
 
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
@@ -253,9 +254,15 @@ def link(postings: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
     """Components over ``postings`` (``h, node, n, pos``); see the module's text, step 4."""
     for r in range(STAR_ROUNDS):
         placed = materialise(postings.join(labels, "node"), "postings")
-        mixed = placed.groupBy("h").agg(F.min(F.struct(F.xxhash64("node", F.lit(r)), "node", "n", "comp")).alias("lead"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
-        stars = placed.join(mixed.select("h", "lead"), "h").where(f"comp <> lead.comp AND {_similar_length('n', 'lead.n')}")
-        stars = stars.select(F.least("node", "lead.node").alias("x"), F.greatest("node", "lead.node").alias("y"))
+        # Per list, members of its largest component stand for it; the other nodes meet a few of them.
+        leads = F.array(*[F.struct(F.xxhash64("node", F.lit(r * LEADERS + i)), "node", "n") for i in range(LEADERS)])
+        sides = placed.groupBy("h", "comp").agg(F.count("*").alias("m"), *[F.min(F.get(leads, i)).alias(f"lead{i}") for i in range(LEADERS)])
+        major = F.max(F.struct("m", "comp", F.array(*[f"lead{i}" for i in range(LEADERS)]).alias("leads")))
+        major = sides.groupBy("h").agg(major.alias("s"), F.count("*").alias("parts")).where("parts > 1").select("h", "s.comp", "s.leads").withColumnRenamed("comp", "major")
+        minor = placed.join(major, "h").where("comp <> major").groupBy("node", "n").agg(*[F.min(F.struct(F.get("leads", i)["node"], F.get("leads", i)["n"])).alias(f"lead{i}") for i in range(LEADERS)])
+        stars = minor.select("node", "n", F.explode(F.array(*[f"lead{i}" for i in range(LEADERS)])).alias("lead")).toDF("node", "n", "lead")
+        stars = stars.select("node", "n", F.col("lead.node").alias("o_node"), F.col("lead.n").alias("o_n")).where(_similar_length("n", "o_n"))
+        stars = stars.select(F.least("node", "o_node").alias("x"), F.greatest("node", "o_node").alias("y"))
         found = materialise(_verified(stars, sets), "links")
         if not found.take(1):
             break
