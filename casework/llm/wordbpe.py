@@ -11,8 +11,8 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+from array import array
 
-import numpy as np
 import tiktoken
 from tokenizers import Tokenizer
 
@@ -56,18 +56,25 @@ class WordEncoder(dict):
             bare = token.removesuffix("</w>")
             ranks[bytes(byte_of[c] for c in bare) + (_END if bare != token else b"")] = i
         self.ranked = tiktoken.Encoding("words", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})
+        self.piece = self.ranked._core_bpe.encode_single_piece
         self.kept = kept
 
+    def raw(self, word: str) -> bytes:
+        """Ids of a word as bytes."""
+        return array("H", self.encode(word)).tobytes()
+
     def encode(self, word: str) -> list[int]:
         if not word:
             return []
+        if len(word) <= LONGEST_KEPT and word.isascii() and word.isalpha():
+            return self.piece(word.lower().encode() + _END)
         if _PLAIN.match(word) and len(word) <= LONGEST_KEPT:
             lower = unicodedata.normalize("NFC", word).lower()
-            return [i for piece in _PIECES.findall(lower) for i in self.ranked._encode_single_piece(piece.encode() + _END)]
+            return [i for piece in _PIECES.findall(lower) for i in self.piece(piece.encode() + _END)]
         return self.exact.encode(word, add_special_tokens=False).ids
 
     def miss(self, word: str) -> bytes:
-        ids = np.asarray(self.encode(word), dtype="<u2").tobytes()
+        ids = self.raw(word)
         if len(word) <= LONGEST_KEPT:
             if len(self) >= self.kept:
                 self.clear()
