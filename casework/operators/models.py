@@ -77,9 +77,9 @@ def importances(model: Model, names: Sequence[str], spark) -> DataFrame:
 
 
 def fit_mlp(df: DataFrame, hidden: Sequence[int] = (8,), classes: int = 2, max_iter: int = 100, step: float = 0.1, seed: int = 1) -> Model:
-    """Sigmoid network with one to three hidden layers."""
+    """Sigmoid network with one to three hidden layers, trained by gradient descent (``step`` is its rate)."""
     size = len(df.select("features").first().features)
-    return MultilayerPerceptronClassifier(layers=[size, *hidden, classes], maxIter=max_iter, stepSize=step, seed=seed).fit(df)
+    return MultilayerPerceptronClassifier(layers=[size, *hidden, classes], maxIter=max_iter, stepSize=step, solver="gd", seed=seed).fit(df)
 
 
 def fit_gbt(df: DataFrame, rounds: int = 100, rate: float = 0.1, depth: int = 6, seed: int = 42) -> Model:

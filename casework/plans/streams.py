@@ -137,10 +137,10 @@ def _(t):
 @query(
     "t7_price_sync",
     """SELECT o_custkey, o_orderkey, o_totalprice, o_orderkey % 5 > 2 AS late FROM orders
-QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderstatus = 'P' DESC, o_orderdate DESC, o_orderkey DESC) = 1""",
+QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1""",
 )
 def _(t):
-    """Two files: settled changes first, pending ones later; the later load wins."""
+    """Two files: settled changes first, pending ones later; the later approval wins, whichever file brings it."""
     rows = t.orders.select(
         "o_custkey", "o_orderkey", "o_totalprice", F.col("o_orderdate").alias("approved"), (F.col("o_orderdate") + F.make_dt_interval(hours=(F.col("o_orderkey") % 5).cast("int"))).alias("synced"), "o_orderstatus"
     )
@@ -148,4 +148,5 @@ def _(t):
     stream = jobs.read_stream(t.spark, folder, schema, files_per_trigger=1)
     path = scratch_path(t.spark, "catalogue")
     jobs.run_available(jobs.price_sync(stream, path, "o_custkey", "approved", "synced", "o_orderkey"), scratch_path(t.spark, "catalogue-checkpoint"))
-    return jobs.latest_rows(t.spark.read.parquet(path), "o_custkey").select("o_custkey", "o_orderkey", "o_totalprice", "late")
+    newest = jobs.latest_rows(t.spark.read.parquet(path), "o_custkey", [F.col("approved").desc(), F.col("o_orderkey").desc()])
+    return newest.select("o_custkey", "o_orderkey", "o_totalprice", "late")

@@ -40,12 +40,16 @@ def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables.
 
     It is the one the cluster names in ``spark.checkpoint.dir``; only where that is
-    unset (local tests) is a folder of our own made and set.
+    unset on a local master is a folder of our own made and set. A cluster without one is
+    refused, because its executors would write to their own disks.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="casework-")
         spark.sparkContext.setCheckpointDir(root)
     return root

@@ -79,8 +79,8 @@ def latest_groups(table: DataFrame, key: str) -> DataFrame:
 
 
 def latest_rows(table: DataFrame, key: str, order: Sequence[Column] = ()) -> DataFrame:
-    """Newest row per key by load, then by ``order``."""
-    w = Window.partitionBy(key).orderBy(F.col("load").desc(), *order)
+    """Newest row per key by ``order``, then by load, so that a change arriving late does not go back in time."""
+    w = Window.partitionBy(key).orderBy(*order, F.col("load").desc())
     return table.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
 
 

@@ -170,3 +170,12 @@ def test_retried_batch_counts_once(spark):
     table = spark.read.parquet(path)
     assert [r.v for r in jobs.latest_groups(table, "k").collect()] == ["c"]
     assert [r.v for r in jobs.latest_rows(table, "k").collect()] == ["c"]
+
+
+def test_late_older_change_does_not_win(spark):
+    path = scratch_path(spark, "catalogue")
+    write = jobs.versioned_sink(path, lambda df: df)
+    write(spark.createDataFrame([(1, 2, "new")], "k int, approved int, v string"), 0)
+    write(spark.createDataFrame([(1, 1, "old")], "k int, approved int, v string"), 1)
+    newest = jobs.latest_rows(spark.read.parquet(path), "k", [F.col("approved").desc()])
+    assert [r.v for r in newest.collect()] == ["new"]
