@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casework.llm.common import text_or_empty
+from casework.llm.common import materialise, text_or_empty
 
 REACH = 200
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -88,18 +88,22 @@ def linked(found: DataFrame, key: Sequence[str], reach: int = REACH) -> DataFram
 
 
 def find(docs: DataFrame, id: str = "doc_id", text: str = "text", reach: int = REACH) -> DataFrame:
-    """Per row: id, text, the plain kinds' span arrays and ``links``, the reported weak spans."""
+    """Per row: id, digest of the text, the plain kinds' span arrays and ``links``, the reported weak spans.
+
+    Texts are read once: their spans are written, weak ones only beside an anchor, and links
+    are sought in that table.
+    """
     rows = docs.select(F.col(id).alias("doc_id"), text_or_empty(text).alias("text"))
     rows = rows.select("doc_id", "text", F.md5("text").alias("digest"), *[plain_spans("text", k).alias(k) for k in PLAIN])
     anchored = F.size(F.concat(*{a for v in ANCHORS.values() for a in v})) > 0
+    none = F.expr(f"cast(array() AS {_SPANS})")
     key = ["doc_id", "digest"]
-    weak = rows.where(anchored).select(*key, *PLAIN, *[spans("text", k, p).alias(k) for k, p in WEAK.items()])
+    weak = rows.select(*key, *PLAIN, *[F.when(anchored, spans("text", k, p)).otherwise(none).alias(k) for k, p in WEAK.items()])
     overlaps = lambda s: F.exists(F.concat(*PLAIN), lambda p: (p["start"] < s["end"]) & (s["start"] < p["end"]))
-    weak = weak.withColumn("candidate", F.filter("candidate", lambda s: ~overlaps(s)))
-    links = linked(weak, key, reach).select(F.col("doc_id").alias("l_id"), F.col("digest").alias("l_digest"), "links")
+    found = materialise(weak.withColumn("candidate", F.filter("candidate", lambda s: ~overlaps(s))), "spans")
+    links = linked(found, key, reach).select(F.col("doc_id").alias("l_id"), F.col("digest").alias("l_digest"), "links")
     same = F.col("doc_id").eqNullSafe(F.col("l_id")) & (F.col("digest") == F.col("l_digest"))
-    joined = rows.join(links, same, "left")
-    return joined.select("doc_id", "text", *PLAIN, F.coalesce("links", F.expr(f"cast(array() AS {_SPANS})")).alias("links"))
+    return found.join(links, same, "left").select(*key, *PLAIN, F.coalesce("links", none).alias("links"))
 
 
 def written(found: Column) -> Column:
@@ -121,16 +125,16 @@ def redact(docs: DataFrame, reach: int = REACH) -> DataFrame:
     """``docs`` with each reported span replaced by its kind in brackets and ``n_chars`` counted anew."""
     rows = find(docs.select("doc_id", "text"), reach=reach)
     every = F.array_sort(F.concat(*PLAIN, "links"))
-    spots = rows.where(F.size(every) > 0).select("doc_id", F.md5("text").alias("digest"), "text", every.alias("spans")).dropDuplicates(["doc_id", "digest"])
+    spots = rows.where(F.size(every) > 0).select(F.col("doc_id").alias("r_id"), F.col("digest").alias("r_digest"), every.alias("r_spans")).dropDuplicates(["r_id", "r_digest"])
     # Overlapping spans: text between the furthest end so far and the next start is kept.
-    built = F.expr(f"""aggregate(spans, struct(0 AS at, '' AS out),
+    built = F.expr(f"""aggregate(r_spans, struct(0 AS at, '' AS out),
       (acc, s) -> CASE WHEN s.end <= acc.at THEN acc ELSE struct(s.end AS at,
         concat(acc.out, substring(text, acc.at + 1, greatest(s.start - acc.at, 0)), '[', element_at(array({', '.join(repr(k) for k in KINDS)}), s.kind + 1), ']') AS out) END,
       acc -> concat(acc.out, substring(text, acc.at + 1, length(text))))""")
-    clean = spots.select(F.col("doc_id").alias("r_id"), "digest", built.alias("clean"))
     full = docs.withColumn("__digest", F.md5(text_or_empty()))
-    joined = full.join(clean, F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.col("__digest") == F.col("digest")), "left")
-    out = {"text": F.coalesce("clean", "text"), "n_chars": F.when(F.col("clean").isNull(), F.col("n_chars")).otherwise(F.length("clean").cast("long"))}
+    joined = full.join(spots, F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.col("__digest") == F.col("r_digest")), "left")
+    joined = joined.withColumn("r_clean", F.when(F.col("r_spans").isNotNull(), built))
+    out = {"text": F.coalesce("r_clean", "text"), "n_chars": F.when(F.col("r_clean").isNull(), F.col("n_chars")).otherwise(F.length("r_clean").cast("long"))}
     return joined.select(*[out[c].alias(c) if c in out else F.col(c) for c in docs.columns])
 
 
