@@ -80,8 +80,8 @@ def running(
 ) -> DataFrame:
     """Add ordered columns to ``df``; ``outputs`` maps a name to ``(kind, column)``.
 
-    Kinds: ``number`` (row number), ``sum`` (running sum up to the row), ``lag``, ``lead`` and
-    ``last`` (last non-null value up to the row). ``order`` is ascending and must be total.
+    Kinds: ``number`` (row number), ``sum`` (running sum up to the row), ``max`` (running maximum),
+    ``lag``, ``lead`` and ``last`` (last non-null value up to the row). ``order`` is ascending and must be total.
     """
     order = [F.col(c) if isinstance(c, str) else c for c in order]
     outputs = {n: (k, F.col(c) if isinstance(c, str) else c) for n, (k, c) in outputs.items()}
@@ -104,6 +104,8 @@ def _local(kind: str, c: Column | None, window) -> Column:
         return F.row_number().over(window).cast("long")
     if kind == "sum":
         return F.sum(c).over(upto)
+    if kind == "max":
+        return F.max(c).over(upto)
     if kind == "lag":
         return F.lag(c).over(window)
     if kind == "lead":
@@ -137,6 +139,8 @@ def _segmented(df, keys, order, plain, cuts, schema, outputs) -> DataFrame:
             edges.append(F.count(F.lit(1)).alias(name))
         elif kind == "sum":
             edges.append(F.sum(c).alias(name))
+        elif kind == "max":
+            edges.append(F.max(c).alias(name))
         elif kind == "lag":
             edges.append(F.max_by(c, at).alias(name))
         elif kind == "lead":
@@ -152,6 +156,8 @@ def _segmented(df, keys, order, plain, cuts, schema, outputs) -> DataFrame:
         c = F.col(name)
         if kind in ("number", "sum"):
             c = F.sum(c).over(before)
+        elif kind == "max":
+            c = F.max(c).over(before)
         elif kind == "lag":
             c = F.lag(c).over(across)
         elif kind == "lead":
@@ -180,6 +186,8 @@ def _segmented(df, keys, order, plain, cuts, schema, outputs) -> DataFrame:
             value = here_ + F.coalesce(carry, F.lit(0))
         elif kind == "sum":
             value = F.when(here_.isNull(), carry).otherwise(here_ + F.coalesce(carry, F.lit(0)))
+        elif kind == "max":
+            value = F.greatest(here_, carry)
         elif kind == "lag":
             value = F.when(F.col(_RN) == 1, carry).otherwise(here_)
         elif kind == "lead":

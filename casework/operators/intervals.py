@@ -49,6 +49,23 @@ def interval_conflicts(
     )
 
 
+def in_conflict(df: DataFrame, key: str, id: str, start: str = "start", end: str = "end") -> DataFrame:
+    """``df`` with ``conflict``: whether the interval overlaps another of the same key.
+
+    In start order an interval overlaps one before it iff the latest end so far lies past its start,
+    and one after it iff the next starts before its end; no pair is formed. Empty
+    intervals and those with a null key, end or start conflict with none.
+    """
+    whole = (F.col(start) < F.col(end)) & F.col(key).isNotNull()
+    ordered = running(
+        df.where(whole), [key], [start, id, end], **{"__next": ("lead", F.col(start)), "__most": ("max", F.col(end))}
+    )
+    ordered = running(ordered, [key], [start, id, end], **{"__before": ("lag", F.col("__most"))})
+    hit = F.coalesce(F.col("__before") > F.col(start), F.lit(False)) | F.coalesce(F.col("__next") < F.col(end), F.lit(False))
+    out = ordered.select(*df.columns, hit.alias("conflict"))
+    return out.unionByName(df.where(~F.coalesce(whole, F.lit(False))).withColumn("conflict", F.lit(False)))
+
+
 def overlapping(
     df: DataFrame, other: DataFrame, key: str, id: str, start: str = "start", end: str = "end", bucket_seconds: int = 86400
 ) -> DataFrame:

@@ -36,6 +36,8 @@ QUERY_FLOATS = 8_000_000
 MAX_BROADCAST_QUESTIONS = 20_000
 #: Cells of one slice of the score matrix (32 MB).
 SCORE_CELLS = 4_000_000
+#: Candidates a task holds before it cuts them to the best (or twice what it must keep).
+HELD_ROWS = 1_000_000
 #: Rows of one block in the blocked form.
 BLOCK_ROWS = 20_000
 
@@ -56,6 +58,33 @@ def _top(matrix: np.ndarray, queries: np.ndarray, k: int, floor: np.ndarray):
         yield asked, rows + start, scores[rows, asked]
 
 
+class _Best:
+    """The ``k`` best (score, smaller id first) per question seen by one task."""
+
+    def __init__(self, questions: int, k: int):
+        self.k, self.floor = k, np.full(questions, -np.inf)
+        self.held, self.rows, self.most = [], 0, max(HELD_ROWS, 2 * questions * k)
+
+    def add(self, asked: np.ndarray, ids: pa.Array, scores: np.ndarray) -> None:
+        self.held.append(pd.DataFrame({"asked": asked, "id": ids.to_pandas(), "score": scores}))
+        self.rows += len(asked)
+        if self.rows > self.most:
+            self.cut()
+
+    def cut(self) -> pd.DataFrame:
+        every = pd.concat(self.held) if self.held else pd.DataFrame({"asked": [], "id": [], "score": []})
+        best = every.sort_values(["asked", "score", "id"], ascending=[True, False, True]).groupby("asked").head(self.k)
+        self.held, self.rows = [best], len(best)
+        return best
+
+    def table(self, names: pa.Array, schema: pa.Schema) -> pa.Table:
+        if not self.rows:
+            return schema.empty_table()
+        best = self.cut()
+        asked = pa.array(best["asked"].to_numpy().astype(np.int64))
+        return pa.Table.from_arrays([names.take(asked), pa.array(best["id"], schema.field("id").type), pa.array(best["score"].to_numpy())], schema=schema)
+
+
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -113,20 +142,22 @@ def _knn_broadcast(corpus: DataFrame, asked: pa.Table, dim: int, want: int, out:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matrix, names = shared.value
-        floor = np.full(len(matrix), -np.inf)
+        best = _Best(len(matrix), want)
         for batch in batches:
             if not batch.num_rows:
                 continue
             keys = batch.column("id")
-            for asked, rows, scores in _top(_matrix(batch.column("vector"), dim), matrix, want, floor):
-                yield pa.RecordBatch.from_arrays([names.take(pa.array(asked)), keys.take(pa.array(rows)), pa.array(scores)], schema=arrow)
+            for asked, rows, scores in _top(_matrix(batch.column("vector"), dim), matrix, want, best.floor):
+                best.add(asked, keys.take(pa.array(rows)), scores)
+        yield from best.table(names, arrow).to_batches()
 
     return corpus.mapInArrow(score, out)
 
 
-def _knn_blocked(q, c, dim, want, out, block_rows) -> DataFrame:
-    q_blocks = max(1, math.ceil(q.count() / block_rows))
-    c_blocks = max(1, math.ceil(c.count() / block_rows))
+def _knn_blocked(q, c, dim, want, out, block_rows, by: Sequence[str] = ()) -> DataFrame:
+    """Both sides in blocks of about ``block_rows``, met within equal ``by`` columns only."""
+    most = lambda df: df.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
+    q_blocks, c_blocks = (max(1, math.ceil(most(df) / block_rows)) for df in (q, c))
 
     def block(col: str, n: int) -> Column:
         return F.pmod(F.xxhash64(col), F.lit(n)).cast("int")
@@ -139,15 +170,13 @@ def _knn_blocked(q, c, dim, want, out, block_rows) -> DataFrame:
         if not a.num_rows or not b.num_rows:
             return arrow.empty_table()
         matrix = _matrix(a.column("vector"), dim)
-        floor = np.full(len(matrix), -np.inf)
-        names, keys = a.column("q_id"), b.column("id")
-        parts = [
-            pa.Table.from_arrays([names.take(pa.array(asked)), keys.take(pa.array(rows)), pa.array(scores)], schema=arrow)
-            for asked, rows, scores in _top(_matrix(b.column("vector"), dim), matrix, want, floor)
-        ]
-        return pa.concat_tables(parts)
+        best = _Best(len(matrix), want)
+        names, keys = a.column("q_id").combine_chunks(), b.column("id").combine_chunks()
+        for asked, rows, scores in _top(_matrix(b.column("vector"), dim), matrix, want, best.floor):
+            best.add(asked, keys.take(pa.array(rows)), scores)
+        return best.table(names, arrow)
 
-    return left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInArrow(score, out)
+    return left.groupBy(*by, "qb", "cb").cogroup(right.groupBy(*by, "qb", "cb")).applyInArrow(score, out)
 
 
 def _arrow(t: T.DataType) -> pa.DataType:
@@ -186,23 +215,29 @@ def knn_approx(
     id: str = "id",
     vector: str = "vector",
     query_floats: int = QUERY_FLOATS,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Approximate cosine neighbours: each question is scored against its ``probes`` nearest lists.
 
     Corpus rows are scored where they lie; a crowded list is spread over its files and tasks,
-    so it never becomes one group. Raise ``probes`` for recall; :func:`knn_exact` is the exact
-    form, used here when the questions exceed the broadcast bound.
+    so it never becomes one group. Questions beyond the broadcast bound meet the same lists in
+    blocks, with the same result. Raise ``probes`` for recall; :func:`knn_exact` is the exact form.
     """
     q = queries.select(F.col(query_id).alias("q_id"), F.col(vector).alias("vector")).where("vector is not null")
     c = corpus.select(F.col(id).alias("id"), F.col(vector).alias("vector")).where("vector is not null")
     dim = centroids.shape[1]
     bound = max(1, min(MAX_BROADCAST_QUESTIONS, query_floats // dim))
-    rows = q.withColumn("lists", _nearest_lists("vector", centroids, probes)).limit(bound + 1).collect()
+    probed = q.withColumn("lists", _nearest_lists("vector", centroids, probes))
+    listed = c.withColumn("list", F.get(_nearest_lists("vector", centroids, 1), F.lit(0)))
+    best = Window.partitionBy("q_id").orderBy(F.col("score").desc(), "id")
+    rows = probed.limit(bound + 1).collect()
     out = T.StructType(
         [T.StructField("q_id", q.schema["q_id"].dataType), T.StructField("id", c.schema["id"].dataType), T.StructField("score", T.DoubleType())]
     )
     if len(rows) > bound:
-        return knn_exact(q, c, k, 1, query_floats=query_floats)
+        asked = probed.select("q_id", "vector", F.explode("lists").alias("list"))
+        scored = _knn_blocked(asked, listed, dim, k, out, block_rows, by=["list"])
+        return scored.withColumn("rank", F.row_number().over(best).cast("long")).where(F.col("rank") <= k)
     sc = c.sparkSession.sparkContext
     matrix = np.asarray([r.vector for r in rows], dtype=np.float64)
     members: dict[int, np.ndarray] = {}
@@ -211,12 +246,11 @@ def knn_approx(
             members.setdefault(lst, []).append(i)
     shared = sc.broadcast((matrix, {b: np.asarray(v) for b, v in members.items()}, [r.q_id for r in rows]))
     arrow = pa.schema([("q_id", _arrow(out["q_id"].dataType)), ("id", _arrow(out["id"].dataType)), ("score", pa.float64())])
-    listed = c.withColumn("list", F.get(_nearest_lists("vector", centroids, 1), F.lit(0)))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         all_q, by_list, ids = shared.value
         names = pa.array(ids, type=arrow.field("q_id").type)
-        floor = np.full(len(all_q), -np.inf)
+        top = _Best(len(all_q), k)
         for batch in batches:
             vectors, keys = _matrix(batch.column("vector"), dim), batch.column("id")
             lists = batch.column("list").to_numpy(zero_copy_only=False)
@@ -225,14 +259,12 @@ def knn_approx(
                 if asked is None:
                     continue
                 here = np.nonzero(lists == lst)[0]
-                low = floor[asked]
+                low = top.floor[asked]
                 for who, row, scores in _top(vectors[here], all_q[asked], k, low):
-                    yield pa.RecordBatch.from_arrays(
-                        [names.take(pa.array(asked[who])), keys.take(pa.array(here[row])), pa.array(scores)], schema=arrow
-                    )
-                floor[asked] = low
+                    top.add(asked[who], keys.take(pa.array(here[row])), scores)
+                top.floor[asked] = low
+        yield from top.table(names, arrow).to_batches()
 
-    best = Window.partitionBy("q_id").orderBy(F.col("score").desc(), "id")
     scored = listed.mapInArrow(score, out)
     return scored.withColumn("rank", F.row_number().over(best).cast("long")).where(F.col("rank") <= k)
 

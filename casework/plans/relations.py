@@ -471,7 +471,5 @@ SELECT inst.id, room, strftime(s, '{FMT}') AS "start", bad.id IS NOT NULL AS con
 def _(t):
     inst = intervals.recurring(bookings(t), "id", weeks=4)
     inst = inst.withColumn("id", F.col("id") * 10 + F.col("occurrence"))
-    pairs = intervals.interval_conflicts(inst, "room", "id")
-    bad = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().withColumn("conflict", F.lit(True))
-    return inst.join(bad, "id", "left").select("id", "room", "start", F.coalesce("conflict", F.lit(False)).alias("conflict"))
+    return intervals.in_conflict(inst, "room", "id").select("id", "room", "start", "conflict")
 

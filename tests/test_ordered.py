@@ -24,7 +24,7 @@ def skewed(spark):
 
 
 def outputs():
-    return {"no": ("number", None), "total": ("sum", "n"), "before": ("lag", "v"), "after": ("lead", "v"), "seen": ("last", "v"), "vsum": ("sum", "v")}
+    return {"no": ("number", None), "total": ("sum", "n"), "before": ("lag", "v"), "after": ("lead", "v"), "seen": ("last", "v"), "vsum": ("sum", "v"), "top": ("max", "v")}
 
 
 @pytest.mark.parametrize("keys", [["k"], []])
@@ -35,7 +35,7 @@ def test_segments_equal_plain_window(skewed, keys):
     assert plain.keys() == cut.keys()
     for i, r in plain.items():
         c = cut[i]
-        assert (r.no, r.total, r.before, r.after, r.seen) == (c.no, c.total, c.before, c.after, c.seen)
+        assert (r.no, r.total, r.before, r.after, r.seen, r.top) == (c.no, c.total, c.before, c.after, c.seen, c.top)
         assert r.vsum == pytest.approx(c.vsum) if r.vsum is not None else c.vsum is None
 
 

@@ -30,6 +30,16 @@ def test_conflicts_equal_brute_force_in_a_crowded_room(spark):
         assert len(pairs) == len(set(pairs)) and set(pairs) == want
 
 
+def test_conflict_flags_equal_pairs(spark):
+    rng = random.Random(5)
+    rows = [(i, rng.choice(["a", "b", None]), s, s + rng.choice([0, 1, 5, 40]) if s % 7 else None) for i in range(300) for s in [rng.randrange(900)]]
+    df = spark.createDataFrame(rows, "id int, room string, start int, end int")
+    meet = lambda x, y: x[0] != y[0] and x[1] and x[1] == y[1] and max(x[2], y[2]) < min(x[3], y[3])
+    whole = [r for r in rows if r[3] is not None and r[2] < r[3]]
+    want = {r[0]: r in whole and any(meet(r, o) for o in whole) for r in rows}
+    assert {r.id: r.conflict for r in intervals.in_conflict(df, "room", "id").collect()} == want
+
+
 def test_tiers(spark):
     tiers = spark.createDataFrame([("s", 1, 99, 48.50), ("s", 100, 499, 44.0), ("s", 500, None, 39.5)], "sku string, lo int, hi int, price double")
     asked = spark.createDataFrame([("s", 500), ("s", 99), ("s", 100), ("s", 0), ("t", 5)], "sku string, quantity int")

@@ -4,6 +4,7 @@ import math
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -51,6 +52,23 @@ def test_knn_keeps_ties_by_id(spark):
     assert ranked(retrieval.knn_exact(query, corpus, k=3, over=1)) == {1: [0, 1, 2]}
 
 
+def test_few_ties_leave_a_task(spark):
+    best = retrieval._Best(2, 3)
+    for at in range(0, 20_000, 5_000):
+        ids = np.arange(at, at + 5_000)[::-1]
+        best.add(np.repeat([0, 1], 5_000), pa.array(np.tile(ids, 2)), np.ones(10_000))
+    out = best.table(pa.array([7, 8]), pa.schema([("q_id", pa.int64()), ("id", pa.int64()), ("score", pa.float64())]))
+    assert out.to_pydict() == {"q_id": [7] * 3 + [8] * 3, "id": [0, 1, 2] * 2, "score": [1.0] * 6}
+
+
+def test_approximate_blocks_equal_broadcast(spark, vectors):
+    queries = vectors.withColumnRenamed("id", "q_id").limit(60)
+    centroids = retrieval.train_lists(vectors, 8)
+    want = ranked(retrieval.knn_approx(queries, vectors, centroids, k=5, probes=2))
+    got = ranked(retrieval.knn_approx(queries, vectors, centroids, k=5, probes=2, query_floats=64, block_rows=20))
+    assert got == want != ranked(retrieval.knn_exact(queries, vectors, k=5, over=1))
+
+
 def test_knn_rejects_mixed_dimensions(spark):
     corpus = spark.createDataFrame([(1, [1.0, 0.0, 0.0])], "id long, vector array<float>")
     query = spark.createDataFrame([(1, [1.0, 0.0])], "q_id long, vector array<float>")
