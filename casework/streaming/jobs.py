@@ -73,9 +73,13 @@ def versioned_sink(path: str, prepare: Callable[[DataFrame], DataFrame]) -> Call
 
 
 def latest_groups(table: DataFrame, key: str) -> DataFrame:
-    """Rows of the newest load of each key; a re-ingested document replaces all its old chunks."""
+    """Rows of the newest load of each key; a re-ingested document replaces all its old chunks.
+
+    Marker rows (see :func:`index_stream`) count for the newest load and are not returned.
+    """
     newest = table.groupBy(F.col(key).alias("__k")).agg(F.max("load").alias("__l"))
-    return table.join(newest, (F.col(key) == F.col("__k")) & (F.col("load") == F.col("__l")), "left_semi")
+    rows = table.where("NOT marker").drop("marker") if "marker" in table.columns else table
+    return rows.join(newest, (F.col(key) == F.col("__k")) & (F.col("load") == F.col("__l")), "left_semi")
 
 
 def latest_rows(table: DataFrame, key: str, order: Sequence[Column] = ()) -> DataFrame:
@@ -84,9 +88,17 @@ def latest_rows(table: DataFrame, key: str, order: Sequence[Column] = ()) -> Dat
     return table.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
 
 
-def index_stream(src: DataFrame, path: str, chunk: Callable[[DataFrame], DataFrame]):
-    """New and changed documents re-chunked into a versioned index."""
-    return src.writeStream.foreachBatch(versioned_sink(path, chunk)).outputMode("append")
+def index_stream(src: DataFrame, path: str, chunk: Callable[[DataFrame], DataFrame], key: str = "doc_id"):
+    """New and changed documents re-chunked into a versioned index.
+
+    Every processed document leaves a marker row, so one that no longer yields a chunk loses its old ones.
+    """
+
+    def prepare(batch: DataFrame) -> DataFrame:
+        marks = batch.select(key).withColumn("marker", F.lit(True))
+        return chunk(batch).withColumn("marker", F.lit(False)).unionByName(marks, allowMissingColumns=True)
+
+    return src.writeStream.foreachBatch(versioned_sink(path, prepare)).outputMode("append")
 
 
 def unacked_stream(incidents: DataFrame, acks: DataFrame, key: str, ts: str, limits: dict[str, int], lateness: str = LATENESS) -> DataFrame:

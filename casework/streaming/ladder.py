@@ -16,6 +16,9 @@ LADDER = {
     "high": [(120, "Clinical Lead"), (240, "CEO")],
 }
 
+#: Minutes for which an ended incident stays known.
+KEPT_MINUTES = 7 * 24 * 60
+
 OUTPUT = T.StructType(
     [
         T.StructField("incident_id", T.LongType()),
@@ -34,7 +37,12 @@ def _row(key: int, severity: str, step: int, recipient: str, due_ms: int) -> pd.
 
 
 class Ladder(StatefulProcessor):
-    """State of one incident: severity, report time and the steps already taken."""
+    """State of one incident: severity, report time, steps taken; and acknowledgements that came before it.
+
+    An incident whose ladder has ended stays known for ``KEPT_MINUTES`` after its last step, so a
+    repeated report does not start it again. An early acknowledgement is kept until the watermark
+    passes it: an incident reported before it could only come as a late row, which is dropped.
+    """
 
     def __init__(self, steps: Mapping[str, Sequence[tuple[int, str]]]):
         self.steps = steps
@@ -42,6 +50,7 @@ class Ladder(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.open = handle.getValueState("open", "severity string, opened long, taken int")
+        self.early = handle.getListState("early", "at long")
 
     def _take(self, key: int, until_ms: int) -> Iterator[pd.DataFrame]:
         severity, opened, taken = self.open.get()
@@ -50,15 +59,14 @@ class Ladder(StatefulProcessor):
             minutes, recipient = steps[taken]
             yield _row(key, severity, taken, recipient, opened + minutes * 60_000)
             taken += 1
-        if taken == len(steps):
-            self.open.clear()
-        else:
-            self.open.update((severity, opened, taken))
+        self.open.update((severity, opened, taken))
+
+    def _end(self) -> None:
+        severity, opened, _ = self.open.get()
+        self.open.update((severity, opened, len(self.steps[severity])))
 
-    def _close(self) -> None:
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer if isinstance(timer, int) else timer[0])
-        self.open.clear()
+    def _forget_at(self, severity: str, opened: int) -> int:
+        return opened + (max(m for m, _ in self.steps[severity]) + KEPT_MINUTES) * 60_000
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         arrived = pd.concat(list(rows), ignore_index=True).sort_values(["ts", "kind"], ascending=[True, False])
@@ -67,18 +75,33 @@ class Ladder(StatefulProcessor):
             if r.kind == "incident" and r.severity in self.steps and not self.open.exists():
                 self.open.update((r.severity, at, 0))
                 yield from self._take(key[0], at)
-                if self.open.exists():
-                    for minutes, _ in self.steps[r.severity]:
-                        if minutes:
-                            self.handle.registerTimer(at + minutes * 60_000)
+                for due in [at + minutes * 60_000 for minutes, _ in self.steps[r.severity] if minutes] + [self._forget_at(r.severity, at)]:
+                    self.handle.registerTimer(due)
+                answers = [a for (a,) in self.early.get() if a >= at]
+                if answers:
+                    yield from self._take(key[0], min(answers) - 1)
+                    self._end()
+                self.early.clear()
             elif r.kind == "ack" and self.open.exists():
-                # Steps that fell due before the acknowledgement still happened.
-                yield from self._take(key[0], at - 1)
-                self._close()
+                if at >= self.open.get()[1]:
+                    # Steps that fell due before the acknowledgement still happened.
+                    yield from self._take(key[0], at - 1)
+                    self._end()
+            elif r.kind == "ack":
+                self.early.appendValue((at,))
+                self.handle.registerTimer(at + 1)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = expiredTimerInfo.getExpiryTimeInMs()
+        waiting = [(a,) for (a,) in self.early.get()]
+        if waiting:
+            left = [x for x in waiting if x[0] >= now]
+            self.early.put(left) if left else self.early.clear()
         if self.open.exists():
-            yield from self._take(key[0], expiredTimerInfo.getExpiryTimeInMs())
+            yield from self._take(key[0], now)
+            severity, opened, _ = self.open.get()
+            if now >= self._forget_at(severity, opened):
+                self.open.clear()
 
     def close(self) -> None:
         pass

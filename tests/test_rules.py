@@ -159,16 +159,18 @@ def test_ladder_steps_before_and_after_an_ack(spark):
     minute = lambda m: START + timedelta(minutes=m)
     schema = "incident_id long, kind string, severity string, ts timestamp_ntz"
     first = [(1, "incident", "critical", minute(0)), (2, "incident", "high", minute(0)), (3, "incident", "high", minute(0)), (4, "incident", "standard", minute(0))]
-    second = [(1, "ack", None, minute(10)), (2, "ack", None, minute(150)), (9, "ack", None, minute(900))]
+    first.append((5, "ack", None, minute(130)))  # comes before its incident
+    second = [(1, "ack", None, minute(10)), (2, "ack", None, minute(150)), (5, "incident", "high", minute(0)), (9, "ack", None, minute(900))]
+    third = [(3, "incident", "high", minute(901)), (9, "ack", None, minute(2000))]  # reported again after its last step
     folder = scratch_path(spark, "ladder-test")
-    for rows in (first, second):
+    for rows in (first, second, third):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
     stream = jobs.read_stream(spark, folder, spark.read.parquet(folder).schema, "ts", files_per_trigger=1)
     out = scratch_path(spark, "ladder-out")
     writer = ladder.escalation_ladder(stream).writeStream.format("parquet").option("path", out).outputMode("append")
     jobs.run_available(writer, scratch_path(spark, "ladder-checkpoint"))
     got = sorted((r.incident_id, r.step) for r in spark.read.parquet(out).collect())
-    assert got == [(1, 0), (2, 0), (3, 0), (3, 1)]
+    assert got == [(1, 0), (2, 0), (3, 0), (3, 1), (5, 0)]
 
 
 def test_retried_batch_counts_once(spark):
@@ -189,3 +191,12 @@ def test_late_older_change_does_not_win(spark):
     write(spark.createDataFrame([(1, 1, "old")], "k int, approved int, v string"), 1)
     newest = jobs.latest_rows(spark.read.parquet(path), "k", [F.col("approved").desc()])
     assert [r.v for r in newest.collect()] == ["new"]
+
+
+def test_document_without_chunks_loses_its_old_ones(spark):
+    folder, path = scratch_path(spark, "emptied"), scratch_path(spark, "emptied-index")
+    for rows in ([(1, "old"), (2, "same")], [(1, "")]):
+        spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.mode("append").parquet(folder)
+    stream = jobs.read_stream(spark, folder, spark.read.parquet(folder).schema, files_per_trigger=1)
+    jobs.run_available(jobs.index_stream(stream, path, lambda df: df.where("text <> ''")), scratch_path(spark, "emptied-checkpoint"))
+    assert [tuple(r)[:2] for r in jobs.latest_groups(spark.read.parquet(path), "doc_id").collect()] == [(2, "same")]
