@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from casework.operators import audit, compare, evaluation, intervals, retrieval, sales
 from casework.plans.bindings import SQL_AUDIT, SQL_BOOKINGS, SQL_DEALS, SQL_INCIDENTS, audit_records, bookings, deals, incidents
 from casework.plans.registry import query
-from casework.plans.search import SQL_KNN, SQL_VDOCS, runs, sql_bm25, vector_questions
+from casework.plans.search import SQL_KNN, SQL_VCHUNKS, runs, sql_bm25, vector_questions
 
 
 def cases(t):
@@ -124,13 +124,13 @@ def _(t):
 
 @query(
     "a6_compare_methods",
-    f"""WITH {SQL_VDOCS}, {SQL_KNN.format(corpus='allowed')}, {sql_bm25('allowed', 15)},
+    f"""WITH {SQL_VCHUNKS}, {SQL_KNN.format(corpus='placed')}, {sql_bm25('allowed', 15)},
 near AS (SELECT q_id, id, rank FROM knn WHERE rank <= 15),
 runs AS (SELECT 'vector' AS method, q_id, id, 120.0 + q_id AS ms FROM near UNION ALL SELECT 'keyword', q_id, id, 45.0 + q_id FROM bm
   UNION ALL SELECT 'hybrid', coalesce(a.q_id, b.q_id), coalesce(a.id, b.id), 145.0 + coalesce(a.q_id, b.q_id) FROM near a FULL JOIN bm b ON a.q_id = b.q_id AND a.id = b.id),
-per AS (SELECT method, q_id, bool_or(id % 20 = q_id % 20) AS hit, max(ms) AS ms FROM runs GROUP BY ALL)
-SELECT method, round(count(*) FILTER (hit) / (SELECT count(*) FROM benchmark JOIN embeddings ON vec_id = item_id) * 100, 4) AS recall_pct,
-  round(100 - count(*) FILTER (hit) / (SELECT count(*) FROM benchmark JOIN embeddings ON vec_id = item_id) * 100, 4) AS failed_pct,
+per AS (SELECT method, q_id, bool_or(('0x' || substring(id, 1, 6))::BIGINT % 20 = q_id % 20) AS hit, max(ms) AS ms FROM runs GROUP BY ALL)
+SELECT method, round(count(*) FILTER (hit) / (SELECT count(*) FROM benchmark LEFT JOIN embeddings ON vec_id = item_id) * 100, 4) AS recall_pct,
+  round(100 - count(*) FILTER (hit) / (SELECT count(*) FROM benchmark LEFT JOIN embeddings ON vec_id = item_id) * 100, 4) AS failed_pct,
   round(avg(ms), 4)::DOUBLE AS avg_latency_ms FROM per GROUP BY method""",
 )
 def _(t):
@@ -138,7 +138,7 @@ def _(t):
     hybrid = retrieval.rrf([near, found])
     timed = lambda df, name, ms: df.select(F.lit(name).alias("method"), "q_id", "id", (F.lit(ms) + F.col("q_id")).alias("latency_ms"))
     union = compare.union_runs(timed(near, "vector", 120.0), timed(found, "keyword", 45.0), timed(hybrid, "hybrid", 145.0))
-    return evaluation.compare_methods(union, vector_questions(t), F.col("id") % 20 == F.col("q_id") % 20)
+    return evaluation.compare_methods(union, vector_questions(t), F.conv(F.substring("id", 1, 6), 16, 10).cast("long") % 20 == F.col("q_id") % 20)
 
 
 SQL_LATENCY = """SELECT event_type, count(*) AS n, round(avg(value), 4) AS mean, round(avg((value < 100)::INT), 6) AS under_target,

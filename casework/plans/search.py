@@ -18,22 +18,17 @@ def questions(t):
 
 def vector_questions(t):
     vectors = t.embeddings.select(F.col("vec_id").alias("q_id"), F.col("embedding").alias("vector"))
-    return questions(t).join(vectors, "q_id")
+    return questions(t).join(vectors, "q_id", "left")
 
 
 def vectors(t):
     return t.embeddings.select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
 
 
-def vector_documents(t):
-    """Documents that have a vector, with audience and category."""
-    docs = spread(t.documents).select(
-        F.col("doc_id").alias("id"),
-        F.col("text").alias("content"),
-        F.when(F.col("lang") == "en", "customer").otherwise("internal").alias("audience"),
-        F.col("source").alias("category"),
-    )
-    return docs.join(vectors(t), "id")
+def vector_chunks(t):
+    """Chunks of all documents with audience and category, and the vector of their document where it has one."""
+    own = vectors(t).withColumnRenamed("id", "doc_id")
+    return chunks(t).select("id", "doc_id", "content", "audience", "category").join(own, "doc_id", "left")
 
 
 SQL_KNN = """
@@ -76,14 +71,13 @@ def _(t):
     return retrieval.bm25(questions(t), index, k=10)
 
 
-SQL_VDOCS = """
-vdocs AS (
-  SELECT d.doc_id AS id, d.text AS content, CASE WHEN d.lang = 'en' THEN 'customer' ELSE 'internal' END AS audience,
-         d.source AS category, e.embedding, e.vec_id
-  FROM documents d JOIN embeddings e ON e.vec_id = d.doc_id),
-allowed AS (SELECT * FROM vdocs WHERE audience = 'customer')
+SQL_VCHUNKS = f"""{SQL_CHUNKS}, {SQL_CHUNK_IDS},
+allowed AS (
+  SELECT c.id, c.doc_id, c.content, c.audience, c.category, e.embedding
+  FROM chunk_ids c LEFT JOIN embeddings e ON e.vec_id = c.doc_id WHERE c.audience = 'customer'),
+placed AS (SELECT id AS vec_id, embedding FROM allowed WHERE embedding IS NOT NULL)
 """
-SQL_HYBRID = f"""{SQL_VDOCS}, {SQL_KNN.format(corpus='allowed')}, near AS (SELECT * FROM knn WHERE rank <= 15),
+SQL_HYBRID = f"""{SQL_VCHUNKS}, {SQL_KNN.format(corpus='placed')}, near AS (SELECT * FROM knn WHERE rank <= 15),
 {sql_bm25('allowed', 15)},
 fused AS (
   SELECT coalesce(a.q_id, b.q_id) AS q_id, coalesce(a.id, b.id) AS id,
@@ -103,8 +97,8 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY reranker_scor
 
 
 def search_tables(t):
-    """Documents with vectors, and their keyword index, each written once and searched many times."""
-    docs = materialise(vector_documents(t), "documents")
+    """Chunks of all documents, and their keyword index, each written once and searched many times."""
+    docs = materialise(vector_chunks(t), "chunks")
     return docs, materialise(retrieval.keyword_index(docs, keep=["audience", "category"]), "keyword-index")
 
 
@@ -112,7 +106,7 @@ def runs(t):
     docs, index = search_tables(t)
     allowed = filters.audience_filter(docs)
     near = retrieval.knn_exact(vector_questions(t), allowed, k=5, over=3)
-    found = retrieval.bm25(vector_questions(t), filters.audience_filter(index), k=15)
+    found = retrieval.bm25(questions(t), filters.audience_filter(index), k=15)
     return allowed, near, found
 
 
