@@ -12,7 +12,8 @@ Only frequent phrases can be part of a frequent longer one, so nothing is lost o
 Ids are numbered over all languages together, so an id tells its language and pairs need no other
 key. Block counts are summed before they meet in ``groupBy``; a very frequent phrase has one row per
 block there. Ids come back to a block in a join by phrase and a group by block, whose size is bounded by
-``BLOCK`` words (or one text), so nothing that grows with the corpus is broadcast or collected.
+``BLOCK`` words (or one text), so nothing that grows with the corpus is broadcast or collected; a bitmap of
+fixed size spares most pairs that are not frequent that way, and the join settles the rest.
 
 Defined results: a null or empty text has no words; a null language is ``und``; repeated rows
 count as often as they occur; an empty table gives an empty result; a text is read as a whole, however
@@ -37,6 +38,8 @@ LEAST, LONGEST, COVER, TOP = 10, 3, 50, 2000
 BLOCK = 1_000_000
 #: Edge of a tile, and the share of its cells that must be met for a dense count.
 TILE, DENSE = 512, 8
+#: A bitmap of 2^25 bits (4 MB) keeps most infrequent pairs out of the shuffle that hands out ids.
+FILTER_BITS = 25
 #: Bits of a word id; the other bits of a pair hold the id of the phrase before it.
 WORD_BITS = 27
 
@@ -49,6 +52,16 @@ def tokens(raw: bytes) -> list[bytes]:
     return raw.lower().translate(_SPACED).replace(_BREAK, b" . ").split()
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Compressed bytes of an array of numbers, after their length."""
+    raw = np.ascontiguousarray(values).tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes, kind: str) -> np.ndarray:
+    return np.frombuffer(pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True), dtype=kind)
+
+
 class _Block:
     """Words of some texts as numbers, by language."""
 
@@ -73,7 +86,7 @@ class _Block:
         langs, spots, counts = list(self.known), [], []
         for lang in langs:
             whole = np.concatenate(self.spots[lang])
-            spots.append(whole.tobytes())
+            spots.append(packed(whole))
             counts.append(np.bincount(whole, minlength=len(self.known[lang]))[1:])
         return pa.RecordBatch.from_arrays(
             [
@@ -89,7 +102,7 @@ def blocks(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, block = TaskContext.get().partitionId() << 40, _Block()
-        for batch in byte_slices(parts):
+        for batch in byte_slices(parts, 2 << 20):
             for name, raw in zip(batch.column(0).to_pylist(), column_bytes(batch, "text")):
                 block.add(name, raw)
                 if block.size >= BLOCK:
@@ -145,10 +158,10 @@ def _pairs(cut: DataFrame, ids: DataFrame, k: int, last: bool) -> DataFrame:
     def run(text: pa.Table, known: pa.Table) -> pa.Table:
         if not text.num_rows:
             return schema.empty_table()
-        base = np.frombuffer(text.column("base")[0].as_py(), dtype="<i4").astype(np.int64)
+        base = unpacked(text.column("base")[0].as_py(), "<i4").astype(np.int64)
         code, n = base, max(0, len(base) - k + 1)
         if k > 1:
-            tops = base if k == 2 else np.frombuffer(text.column("tops")[0].as_py(), dtype="<i8")
+            tops = base if k == 2 else unpacked(text.column("tops")[0].as_py(), "<i8")
             code = np.where((tops[:n] >= 0) & (base[k - 1 :] >= 0), (tops[:n] << WORD_BITS) | base[k - 1 :], -1)
         of, id = known.column("code").to_numpy(), known.column("id").to_numpy()
         order = np.argsort(of)
@@ -161,7 +174,9 @@ def _pairs(cut: DataFrame, ids: DataFrame, k: int, last: bool) -> DataFrame:
         n = max(0, len(base) - k)
         start = np.flatnonzero((tops[:n] >= 0) & (tops[1 : n + 1] >= 0) & (base[k : k + n] >= 0))
         codes, counts = tile_counts(tops[start], base[start + k])
-        values = [b"" if last else base.astype("<i4").tobytes(), b"" if last or k == 1 else tops.astype("<i8").tobytes(), codes.astype("<i8").tobytes(), counts.astype("<i4").tobytes()]
+        order = np.argsort(codes)
+        codes, counts = np.diff(codes[order], prepend=0), counts[order]
+        values = [b"" if last else packed(base.astype("<i4")), b"" if last or k == 1 else packed(tops.astype("<i8")), packed(codes.astype("<i8")), packed(counts.astype("<i4"))]
         return pa.table([text.column("block").combine_chunks(), *[pa.array([v], pa.binary()) for v in values]], schema=schema)
 
     schema = pa.schema([("block", pa.int64()), ("base", pa.binary()), ("tops", pa.binary()), ("codes", pa.binary()), ("counts", pa.binary())])
@@ -169,13 +184,45 @@ def _pairs(cut: DataFrame, ids: DataFrame, k: int, last: bool) -> DataFrame:
     return materialise(both, "phrase-pairs")
 
 
-def _flat(pairs: DataFrame) -> DataFrame:
-    """``block, code, c`` of written pairs."""
+def _bit(codes: np.ndarray) -> np.ndarray:
+    return ((codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
+def _filter(codes: DataFrame) -> np.ndarray:
+    """Bitmap of fixed size in which every one of ``codes`` has its bit set, put together in tasks."""
+    size = (1 << FILTER_BITS) // 8
+
+    def mark(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, any_row = np.zeros(1 << FILTER_BITS, dtype=bool), False
+        for batch in parts:
+            seen[_bit(batch.column(0).to_numpy())] = True
+            any_row |= batch.num_rows > 0
+        if any_row:
+            yield pa.RecordBatch.from_arrays([pa.array([np.packbits(seen).tobytes()], pa.binary())], names=["bits"])
+
+    def join(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = np.zeros(size, dtype=np.uint8)
+        for batch in parts:
+            for bits in batch.column(0).to_pylist():
+                out |= np.frombuffer(bits, dtype=np.uint8)
+        yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], names=["bits"])
+
+    rows = codes.mapInArrow(mark, "bits binary").repartition(4).mapInArrow(join, "bits binary").collect()
+    return np.bitwise_or.reduce([np.frombuffer(bytes(r.bits), dtype=np.uint8) for r in rows] + [np.zeros(size, dtype=np.uint8)])
+
+
+def _flat(pairs: DataFrame, bits: np.ndarray | None = None) -> DataFrame:
+    """``block, code, c`` of written pairs; with a bitmap without most pairs that it does not hold."""
+    shared = None if bits is None else pairs.sparkSession.sparkContext.broadcast(bits)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
             for block, codes, counts in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                code, c = np.frombuffer(codes, dtype="<i8"), np.frombuffer(counts, dtype="<i4")
+                code, c = np.cumsum(unpacked(codes, "<i8")), unpacked(counts, "<i4")
+                if shared is not None:
+                    bit = _bit(code)
+                    kept = (shared.value[bit >> 3] >> (7 - (bit & 7))) & 1 == 1
+                    code, c = code[kept], c[kept]
                 for at in range(0, len(code), 100_000):
                     part = code[at : at + 100_000]
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), block)), pa.array(part), pa.array(c[at : at + 100_000].astype(np.int64))], names=["block", "code", "c"])
@@ -201,14 +248,15 @@ def phrases(docs: DataFrame, text: str = "text", lang: str = "lang", least: int
     ids = met.join(words.select("lang", "word", "id"), ["lang", "word"]).select("block", "code", "id")
     for k in range(1, longest):
         frame = _pairs(frame, ids, k, k + 1 == longest)
-        flat = _flat(frame)
-        found = flat.groupBy("code").agg(F.sum("c").alias("a")).where(F.col("a") >= least)
+        found = _flat(frame).groupBy("code").agg(F.sum("c").alias("a")).where(F.col("a") >= least)
         found = _bounded(numbered(found, [F.desc("a"), F.col("code")], "id"), 63 - WORD_BITS, "phrases")
         parts = found.withColumn("left", F.shiftright("code", WORD_BITS)).withColumn("right", F.col("code").bitwiseAND(F.lit((1 << WORD_BITS) - 1)))
         before = level.select(F.col("id").alias("left"), F.col("key").alias("start"))
         level = materialise(parts.join(before, "left").select("id", "code", "a", F.concat("start", F.array("right")).alias("key")), "phrase-level")
         counts = counts.unionByName(level.select("key", "a"))
-        ids = flat.join(level.select("code", "id"), "code").select("block", "code", "id")
+        if k + 1 < longest:
+            near = _flat(frame, _filter(level.select("code")))
+            ids = near.select("block", "code").join(level.select("code", "id"), "code").select("block", "code", "id")
     return words, materialise(counts, "phrase-counts"), every.groupBy("lang").agg(F.sum("a").alias("n"))
 
 
