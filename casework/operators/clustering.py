@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, PCAModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from casework.operators import blocks as B
+
 #: Cluster centres that may come to the driver.
 MAX_CLUSTERS = 10_000
+#: Distances between centres held at a time.
+PAIR_CELLS = 4_000_000
 
 
 def as_features(df: DataFrame, vector: str, out: str = "features") -> DataFrame:
@@ -27,10 +33,100 @@ def pca(df: DataFrame, k: int = 50, features: str = "features") -> tuple[DataFra
     return model.transform(df), model
 
 
-def kmeans(df: DataFrame, k: int = 2, features: str = "features", seed: int = 42) -> tuple[DataFrame, KMeansModel]:
-    """Cluster number per row (``cluster``); k-means|| start."""
-    model = KMeans(k=k, featuresCol=features, predictionCol="cluster", initMode="k-means||", seed=seed).fit(df)
-    return model.transform(df), model
+@dataclass(frozen=True)
+class Clustering:
+    """Best of several starts: centres, cost (summed squared distance) and rows of each centre."""
+
+    centres: np.ndarray
+    cost: float
+    sizes: np.ndarray
+
+
+def _seeds(sample: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """k-means++: each further centre is a row drawn by its squared distance from those before."""
+    centres = [sample[rng.integers(len(sample))]]
+    gap = ((sample - centres[0]) ** 2).sum(1)
+    while len(centres) < k:
+        total = gap.sum()
+        at = rng.choice(len(sample), p=gap / total) if total > 0 else rng.integers(len(sample))
+        centres.append(sample[at])
+        gap = np.minimum(gap, ((sample - sample[at]) ** 2).sum(1))
+    return np.stack(centres)
+
+
+def _assign(blocks: DataFrame, runs: Sequence[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, float]]:
+    """Rows, sums and cost per centre of every run, from one scan."""
+    d = runs[0].shape[1]
+    sizes = [len(c) * (d + 1) + 1 for c in runs]
+
+    def fn(x: np.ndarray, y: np.ndarray, f: np.ndarray) -> np.ndarray:
+        out, square = [], (x * x).sum(1)
+        for c in runs:
+            distance = (c * c).sum(1) - 2 * x @ c.T
+            own = distance.argmin(1)
+            member = np.zeros((len(x), len(c)))
+            member[np.arange(len(x)), own] = 1
+            cost = np.maximum(square + distance[np.arange(len(x)), own], 0).sum()
+            out.append(np.concatenate([member.sum(0), (member.T @ x).ravel(), [cost]]))
+        return np.concatenate(out)
+
+    got = np.split(B.summed(blocks, fn, sum(sizes)), np.cumsum(sizes)[:-1])
+    return [(v[: len(c)], v[len(c) : -1].reshape(len(c), d), float(v[-1])) for v, c in zip(got, runs)]
+
+
+def kmeans_starts(
+    df: DataFrame, ks: Sequence[int], starts: int = 10, features: str = "features", seed: int = 42, max_rounds: int = 300, tolerance: float = 1e-4, sample_rows: int = 10_000
+) -> dict[int, Clustering]:
+    """K-means for every k from several starts, all moved in one scan per round; the cheapest start of each k.
+
+    Starts are drawn by k-means++ from about ``sample_rows`` rows (chosen by a hash of their values); the
+    rounds read all rows. A run ends when its centres move by less than ``tolerance`` times the mean variance.
+    A centre without rows stays where it is; of equally cheap starts the first is taken.
+    """
+    data = B.pack(df, features)
+    d = B.width(data)
+    if not d:
+        raise ValueError("no rows to cluster")
+    n, _, spread = B.moments(data, d)
+    still = tolerance * float((spread**2).mean())
+    values = vector_to_array(features) if isinstance(df.schema[features].dataType, VectorUDT) else F.col(features).cast("array<double>")
+    share = min(1.0, sample_rows / n)
+    kept = df.select(values.alias("x")).where("x is not null").where(F.pmod(F.xxhash64("x", F.lit(seed)), F.lit(1 << 30)) < F.lit(math.ceil(share * (1 << 30))))
+    # At most twice the rows asked for reach the driver, however many copies share a hash.
+    sample = np.array(sorted(r.x for r in kept.limit(2 * sample_rows).collect()))
+    runs = [(k, _seeds(sample, k, np.random.default_rng([seed, k, s]))) for k in ks for s in range(1 if k == 1 else starts)]
+    moving = list(range(len(runs)))
+    for _ in range(max_rounds):
+        found = _assign(data, [runs[i][1] for i in moving])
+        left = []
+        for i, (rows, sums, _) in zip(moving, found):
+            k, old = runs[i]
+            new = np.where(rows[:, None] > 0, sums / np.maximum(rows, 1)[:, None], old)
+            runs[i] = (k, new)
+            if ((new - old) ** 2).sum() > still:
+                left.append(i)
+        moving = left
+        if not moving:
+            break
+    best: dict[int, Clustering] = {}
+    for (k, centres), (rows, _, cost) in zip(runs, _assign(data, [c for _, c in runs])):
+        if k not in best or cost < best[k].cost:
+            best[k] = Clustering(centres, cost, rows)
+    return best
+
+
+def nearest_centre(vector: Column, centres: np.ndarray) -> Column:
+    """Number of the nearest centre of an array column; ties to the smaller number."""
+    gap = lambda c: _squares(F.zip_with(vector, F.array(*[F.lit(float(v)) for v in c]), lambda a, b: a - b))
+    gaps = F.array(*[gap(c) for c in centres])
+    return (F.array_position(gaps, F.array_min(gaps)) - 1).cast("int")
+
+
+def kmeans(df: DataFrame, k: int = 2, features: str = "features", seed: int = 42, starts: int = 10) -> tuple[DataFrame, Clustering]:
+    """Cluster number per row (``cluster``), from the cheapest of several starts."""
+    found = kmeans_starts(df, [k], starts, features, seed)[k]
+    values = vector_to_array(features) if isinstance(df.schema[features].dataType, VectorUDT) else F.col(features).cast("array<double>")
+    return df.withColumn("cluster", nearest_centre(values, found.centres)), found
 
 
 def cluster_sizes(df: DataFrame, cluster: str = "cluster") -> DataFrame:
@@ -41,19 +137,10 @@ def _squares(c):
     return F.aggregate(c, F.lit(0.0), lambda s, x: s + x.cast("double") * x)
 
 
-def elbow(df: DataFrame, ks: Sequence[int] = range(1, 7), features: str = "features", seed: int = 42) -> DataFrame:
-    """Within-cluster squares per k; k = 1 is the total sum of squares (k-means needs k ≥ 2)."""
-    rows = []
-    for k in ks:
-        if k == 1:
-            one = df.agg(
-                F.sum(_squares(vector_to_array(features))).alias("sq"), F.count(F.lit(1)).alias("n"), Summarizer.mean(F.col(features)).alias("m")
-            ).collect()[0]
-            cost = one.sq - one.n * float(np.dot(one.m.toArray(), one.m.toArray()))
-        else:
-            cost = kmeans(df, k, features, seed)[1].summary.trainingCost
-        rows.append((int(k), float(cost)))
-    return df.sparkSession.createDataFrame(rows, "k long, wcss double")
+def elbow(df: DataFrame, ks: Sequence[int] = range(1, 7), features: str = "features", seed: int = 42, starts: int = 10) -> DataFrame:
+    """Within-cluster squares per k, all k and starts in the same scans."""
+    found = kmeans_starts(df, ks, starts, features, seed)
+    return df.sparkSession.createDataFrame([(int(k), c.cost) for k, c in found.items()], "k long, wcss double")
 
 
 def silhouette(df: DataFrame, features: str = "features", cluster: str = "cluster") -> float:
@@ -101,16 +188,26 @@ def davies_bouldin(df: DataFrame, vector: str, label: str) -> float:
     gap = F.sqrt(_squares(F.zip_with("v", "centre", lambda a, b: a - b)))
     spread = {r.label: r.s for r in slim.join(F.broadcast(centres), "label").groupBy("label").agg(F.avg(gap).alias("s")).collect()}
     c = np.array([g.centre for g in groups])
-    s = np.array([spread[g.label] for g in groups])
-    distance = np.sqrt(((c[:, None, :] - c[None, :, :]) ** 2).sum(2))
-    np.fill_diagonal(distance, np.inf)
-    return float(((s[:, None] + s[None, :]) / distance).max(1).mean())
-
-
-def davies_bouldin_by_k(df: DataFrame, ks: Sequence[int] = range(2, 7), features: str = "features", seed: int = 42) -> DataFrame:
-    """Davies–Bouldin index of k-means for each k."""
-    rows = []
-    for k in ks:
-        clustered, _ = kmeans(df, k, features, seed)
-        rows.append((int(k), davies_bouldin(clustered.withColumn("__a", vector_to_array(features)), "__a", "cluster")))
+    return _worst_pairs(c, np.array([spread[g.label] for g in groups]))
+
+
+def _worst_pairs(c: np.ndarray, s: np.ndarray) -> float:
+    """Mean over centres of the worst (spread + spread) / distance, a block of centres at a time."""
+    square, step, worst = (c * c).sum(1), max(1, PAIR_CELLS // max(1, len(c))), []
+    for at in range(0, len(c), step):
+        part = slice(at, at + step)
+        distance = np.sqrt(np.maximum(square[part, None] + square[None, :] - 2 * c[part] @ c.T, 0))
+        ratio = np.divide(s[part, None] + s[None, :], distance, out=np.full(distance.shape, np.inf), where=distance > 0)
+        ratio[np.arange(len(ratio)), np.arange(at, at + len(ratio))] = -np.inf
+        worst.append(ratio.max(1))
+    return float(np.concatenate(worst).mean())
+
+
+def davies_bouldin_by_k(df: DataFrame, ks: Sequence[int] = range(2, 7), features: str = "features", seed: int = 42, starts: int = 10) -> DataFrame:
+    """Davies–Bouldin index of k-means for each k; all k and starts are trained in the same scans."""
+    values = vector_to_array(features) if isinstance(df.schema[features].dataType, VectorUDT) else F.col(features).cast("array<double>")
+    data, rows = df.select(values.alias("__a")), []
+    for k, found in kmeans_starts(df, ks, starts, features, seed).items():
+        clustered = data.withColumn("cluster", nearest_centre(F.col("__a"), found.centres))
+        rows.append((int(k), davies_bouldin(clustered, "__a", "cluster")))
     return df.sparkSession.createDataFrame(rows, "k long, davies_bouldin double")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -13,33 +14,73 @@ from casework.functions.ordered import running
 ACK_MINUTES = {"critical": 15, "high": 120, "standard": 240}
 
 
-def _bucket(c: str | Column, seconds: int) -> Column:
+def _cell(c: str | Column, seconds: int) -> Column:
+    """Number of the time cell of so many seconds."""
     c = F.col(c) if isinstance(c, str) else c
     return F.floor(F.unix_micros(c.cast("timestamp")) / (seconds * 1_000_000)).cast("long")
 
 
-def _buckets(df: DataFrame, start: str, end: str, seconds: int) -> DataFrame:
-    """One row per time bucket an interval ``[start, end)`` touches."""
-    last = _bucket(F.col(end) - F.expr("interval 1 microsecond"), seconds)
-    first = _bucket(start, seconds)
-    return df.withColumn("__b", F.explode(F.sequence(first, F.greatest(first, last))))
+def _last_cell(end: str, start: str, seconds: int) -> Column:
+    return F.greatest(_cell(F.col(end) - F.expr("interval 1 microsecond"), seconds), _cell(start, seconds))
+
+
+def _halved(c: Column, level: Column) -> Column:
+    return F.call_function("shiftright", c, level)
+
+
+def cover(first: Column, last: Column, levels: Column) -> Column:
+    """Dyadic cover of the cells ``first`` to ``last``: an array of ``(level, node)``.
+
+    A node of level ``l`` stands for 2^l cells. The cover is disjoint and has at most two nodes
+    per level, so an interval of ``n`` cells has about ``2 log2 n`` nodes, whatever the size of a cell.
+    """
+
+    def at(level: Column) -> Column:
+        # What is left of the interval after all lower levels, in nodes of this one.
+        low, high = -_halved(-first, level), _halved(last + 1, level)
+        odd = lambda x: F.pmod(x, F.lit(2)) == 1
+        node = lambda n: F.struct(level.cast("int").alias("level"), n.cast("long").alias("node"))
+        left = F.when(odd(low) & (low < high), node(low))
+        right = F.when(odd(high) & (low + F.pmod(low, F.lit(2)) < high), node(high - 1))
+        return F.array(left, right)
+
+    return F.filter(F.flatten(F.transform(F.sequence(F.lit(0), levels), at)), lambda n: n.isNotNull())
+
+
+def path_up(cell: Column, levels: Column) -> Column:
+    """The node of every level that holds a cell: an array of ``(level, node)``."""
+    return F.transform(F.sequence(F.lit(0), levels), lambda l: F.struct(l.cast("int").alias("level"), _halved(cell, l).cast("long").alias("node")))
+
+
+def _top_level(df: DataFrame, start: str, end: str, seconds: int) -> Column:
+    """Highest level that a cover of these intervals can use; one number, from one pass."""
+    cells = _last_cell(end, start, seconds) - _cell(start, seconds) + 1
+    return F.lit(math.ceil(math.log2(df.agg(F.max(cells)).first()[0] or 1)))
+
+
+def _nodes(df: DataFrame, nodes: Column) -> DataFrame:
+    return df.withColumn("__n", F.explode(nodes)).select("*", F.col("__n.level").alias("__level"), F.col("__n.node").alias("__node")).drop("__n")
 
 
 def interval_conflicts(
-    df: DataFrame, key: str, id: str, start: str = "start", end: str = "end", bucket_seconds: int = 3600
+    df: DataFrame, key: str, id: str, start: str = "start", end: str = "end", grain_seconds: int = 60
 ) -> DataFrame:
     """Pairs of overlapping intervals of the same key, each pair once: ``(key, a, b, from, to)``.
 
-    The interval that starts later (ties by id) is looked up at its starting bucket among the
-    buckets of the earlier one, so each pair is met once and rows meet only when they share a
-    bucket. Choose the bucket near the usual length of an interval. Crowded (key, bucket) groups
-    are split by AQE's skew join.
+    The interval that starts later (ties by id) is looked up at its starting cell: an earlier one holds
+    that cell iff one node of its dyadic cover lies on the cell's path up, and then exactly one
+    does. Intervals of a minute and of a year meet without a bucket size to choose: both are a few
+    dozen rows at most. Crowded nodes are split by AQE's skew join.
     """
-    slim = df.where(F.col(start) < F.col(end)).select(F.col(key).alias("key"), F.col(id).alias("id"), F.col(start).alias("s"), F.col(end).alias("e"))
-    a = _buckets(slim, "s", "e", bucket_seconds).select("key", "__b", F.col("id").alias("a"), F.col("s").alias("a_s"), F.col("e").alias("a_e"))
-    b = slim.withColumn("__b", _bucket("s", bucket_seconds)).select("key", "__b", F.col("id").alias("b"), F.col("s").alias("b_s"), F.col("e").alias("b_e"))
+    whole = df.where(F.col(start) < F.col(end))
+    top = _top_level(whole, start, end, grain_seconds)
+    slim = whole.select(F.col(key).alias("key"), F.col(id).alias("id"), F.col(start).alias("s"), F.col(end).alias("e"))
+    a = slim.select("key", F.col("id").alias("a"), F.col("s").alias("a_s"), F.col("e").alias("a_e"))
+    a = _nodes(a, cover(_cell("a_s", grain_seconds), _last_cell("a_e", "a_s", grain_seconds), top))
+    b = slim.select("key", F.col("id").alias("b"), F.col("s").alias("b_s"), F.col("e").alias("b_e"))
+    b = _nodes(b, path_up(_cell("b_s", grain_seconds), top))
     later = (F.col("b_s") > F.col("a_s")) | ((F.col("b_s") == F.col("a_s")) & (F.col("b") > F.col("a")))
-    pairs = a.join(b, ["key", "__b"]).where(later & (F.col("b_s") < F.col("a_e")))
+    pairs = a.join(b, ["key", "__level", "__node"]).where(later & (F.col("b_s") < F.col("a_e")))
     return pairs.select(
         F.col("key").alias(key),
         F.least("a", "b").alias("a"),
@@ -49,6 +90,19 @@ def interval_conflicts(
     )
 
 
+def conflict_counts(df: DataFrame, key: str, id: str, start: str = "start", end: str = "end") -> DataFrame:
+    """``(key, id, start, earlier)``: how many intervals of the same key that began before (ties by id) still run at the start.
+
+    The sum of ``earlier`` is the number of conflicting pairs. Starts and ends are merged in time order and
+    summed as they go, so no pair is formed. Empty intervals and those with a null key, end or start are left out.
+    """
+    whole = df.where((F.col(start) < F.col(end)) & F.col(key).isNotNull())
+    event = lambda at, kind, step: whole.select(F.col(key), F.col(at).alias("__t"), F.lit(kind).alias("__k"), F.col(id), F.lit(step).alias("__step"))
+    # An interval that ends where another starts is no conflict, so ends come first.
+    merged = running(event(end, 0, -1).unionByName(event(start, 1, 1)), [key], ["__t", "__k", id], __open=("sum", "__step"))
+    return merged.where("__k = 1").select(key, id, F.col("__t").alias(start), (F.col("__open") - 1).cast("long").alias("earlier"))
+
+
 def in_conflict(df: DataFrame, key: str, id: str, start: str = "start", end: str = "end") -> DataFrame:
     """``df`` with ``conflict``: whether the interval overlaps another of the same key.
 
@@ -67,18 +121,28 @@ def in_conflict(df: DataFrame, key: str, id: str, start: str = "start", end: str
 
 
 def overlapping(
-    df: DataFrame, other: DataFrame, key: str, id: str, start: str = "start", end: str = "end", bucket_seconds: int = 86400
+    df: DataFrame, other: DataFrame, key: str, id: str, start: str = "start", end: str = "end", grain_seconds: int = 60
 ) -> DataFrame:
     """Rows of ``df`` (unique ``id``) overlapping an interval of ``other`` with the same key.
 
-    An existence test: both sides are cut into buckets, met by a semi join, and only ids come back.
+    An existence test: of two overlapping intervals one holds the other's start, so each side's starting
+    cells meet the dyadic covers of the other in a semi join, and only ids come back.
     """
-    left = _buckets(df.select(id, F.col(key).alias("__k"), F.col(start).alias("__s"), F.col(end).alias("__e")), "__s", "__e", bucket_seconds)
-    right = _buckets(other.select(F.col(key).alias("__k2"), F.col(start).alias("__s2"), F.col(end).alias("__e2")), "__s2", "__e2", bucket_seconds)
-    right = right.withColumnRenamed("__b", "__b2").distinct()
-    match = (F.col("__k") == F.col("__k2")) & (F.col("__b") == F.col("__b2"))
-    hit = left.join(right, match & (F.col("__s") < F.col("__e2")) & (F.col("__s2") < F.col("__e")), "left_semi")
-    return df.join(hit.select(id).distinct(), id, "left_semi")
+    left = df.where(F.col(start) < F.col(end)).select(id, F.col(key).alias("__k"), F.col(start).alias("__s"), F.col(end).alias("__e"))
+    right = other.where(F.col(start) < F.col(end)).select(F.col(key).alias("__k2"), F.col(start).alias("__s2"), F.col(end).alias("__e2"))
+
+    def hits(point: DataFrame, spans: DataFrame, at: str, first: str, last: str) -> tuple[DataFrame, DataFrame]:
+        top = _top_level(spans, first, last, grain_seconds)
+        return _nodes(point, path_up(_cell(at, grain_seconds), top)), _nodes(spans, cover(_cell(first, grain_seconds), _last_cell(last, first, grain_seconds), top))
+
+    def met(a: DataFrame, b: DataFrame) -> DataFrame:
+        b = b.withColumnsRenamed({"__level": "__level2", "__node": "__node2"})
+        same = (F.col("__k") == F.col("__k2")) & (F.col("__level") == F.col("__level2")) & (F.col("__node") == F.col("__node2"))
+        return a.join(b, same & (F.col("__s") < F.col("__e2")) & (F.col("__s2") < F.col("__e")), "left_semi").select(id)
+
+    points, spans = hits(left, right, "__s", "__s2", "__e2")
+    starts, holders = hits(right, left, "__s2", "__s", "__e")
+    return df.join(met(points, spans).unionByName(met(holders, starts)).distinct(), id, "left_semi")
 
 
 def leave_clash(shifts: DataFrame, leave: DataFrame, key: str, id: str, **options) -> DataFrame:
@@ -163,7 +227,7 @@ def recurring(
 ) -> DataFrame:
     """Weekly instances of each rule: ``occurrence`` 0 … weeks − 1, no instance twice.
 
-    ``weeks`` is a column or a number. Mark clashes with :func:`interval_conflicts`.
+    ``weeks`` is a column or a number. Mark clashes with :func:`in_conflict`.
     """
     n = F.col(weeks) if isinstance(weeks, str) else F.lit(weeks)
     out = rules.dropDuplicates([id]).withColumn("occurrence", F.explode(F.sequence(F.lit(0), n.cast("int") - 1)))

@@ -27,8 +27,6 @@ from pyspark.sql import functions as F
 from casework.operators.features import fold
 
 # Search grids.
-LOGISTIC_C = [0.01, 0.1, 1.0, 10.0]
-L1_RATIOS = [0.25, 0.5, 0.75]
 FOREST_GRID = {"numTrees": [25, 50, 100], "maxDepth": [3, 5, 7]}
 TREE_GRID = {"impurity": ["gini", "entropy"], "maxDepth": [10, 20], "minInstancesPerNode": [2, 5, 9], "minInfoGain": [0.001, 0.004]}
 METRICS = {"accuracy": "accuracy", "precision": "precisionByLabel", "recall": "recallByLabel"}
@@ -124,49 +122,6 @@ def _meta(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return packed.drop("features").withColumnRenamed("__meta", "features")
 
 
-def fit_adaboost(df: DataFrame, rounds: int = 50, rate: float = 1.0) -> list[tuple[int, float, float, float, float]]:
-    """Boosted stumps ``(feature, threshold, left, right, alpha)``.
-
-    A stump is one condition on one feature, so the weights of the next round are a column
-    expression over the stumps so far: no table is rewritten between rounds and the plan has
-    no growing lineage.
-    """
-    stumps: list[tuple[int, float, float, float, float]] = []
-    x = vector_to_array("features")
-    data = df.select("features", "label", x.alias("__x"))
-    for _ in range(rounds):
-        weight = F.exp(reduce(lambda a, b: a + b, [F.lit(s[4]) * (_vote(s) != F.col("label")).cast("double") for s in stumps], F.lit(0.0)))
-        model = DecisionTreeClassifier(maxDepth=1, weightCol="weight").fit(data.withColumn("weight", weight))
-        stump = _stump(model)
-        if stump is None:
-            break
-        total = data.agg(F.sum(weight).alias("w"), F.sum(F.when(_vote(stump) != F.col("label"), weight)).alias("e")).collect()[0]
-        error = min(max((total.e or 0.0) / total.w, 1e-10), 1.0)
-        if error >= 0.5:
-            break
-        stumps.append((*stump[:4], rate * float(np.log((1 - error) / error))))
-    return stumps
-
-
-def _stump(model) -> tuple[int, float, float, float, float] | None:
-    root = model._java_obj.rootNode()
-    if root.getClass().getSimpleName() == "LeafNode":
-        return None
-    s = root.split()
-    return (int(s.featureIndex()), float(s.threshold()), float(root.leftChild().prediction()), float(root.rightChild().prediction()), 0.0)
-
-
-def _vote(s) -> Column:
-    return F.when(F.get(F.col("__x"), F.lit(s[0])) <= s[1], F.lit(s[2])).otherwise(F.lit(s[3]))
-
-
-def adaboost_predict(df: DataFrame, stumps: Sequence[tuple]) -> DataFrame:
-    """Weighted vote of the stumps: ``prediction``."""
-    with_x = df.withColumn("__x", vector_to_array("features"))
-    score = reduce(lambda a, b: a + b, [F.lit(s[4]) * (2 * _vote(s) - 1) for s in stumps], F.lit(0.0))
-    return with_x.withColumn("prediction", (score > 0).cast("double")).drop("__x")
-
-
 def rfe(df: DataFrame, columns: Sequence[str], label: Column, keep: int = 1, **forest) -> DataFrame:
     """Recursive feature elimination: rank 1 for the kept features, then in reverse order of removal."""
     left, ranks = list(columns), {}
@@ -183,14 +138,6 @@ def _evaluator(metric: str) -> MulticlassClassificationEvaluator:
     return MulticlassClassificationEvaluator(metricName=METRICS.get(metric, metric), metricLabel=1.0)
 
 
-def search_logistic(df: DataFrame, folds: int = 5, metric: str = "accuracy", parallelism: int = 4, seed: int = 42, max_iter: int = 100) -> CrossValidatorModel:
-    """Search over C and penalty: none, l1, l2 and elastic net with three mixing ratios."""
-    n = max(1, df.count())
-    lr = LogisticRegression(maxIter=max_iter, standardization=False)
-    penalised = [{lr.regParam: 1.0 / (c * n), lr.elasticNetParam: mix} for c in LOGISTIC_C for mix in (0.0, *L1_RATIOS, 1.0)]
-    return _validated(df, lr, [{lr.regParam: 0.0, lr.elasticNetParam: 0.0}, *penalised], folds, metric, parallelism, seed)
-
-
 def grid_search(df: DataFrame, estimator: Estimator, grid: Mapping[str, Sequence] | None = None, folds: int = 5, metric: str = "accuracy", parallelism: int = 4, seed: int = 42) -> CrossValidatorModel:
     """Cross-validated search over a full grid of parameter names and values.
 
@@ -228,6 +175,17 @@ def search_table(model: CrossValidatorModel, spark) -> DataFrame:
     return spark.createDataFrame(rows, "setting string, mean double, std double, best boolean")
 
 
+def fold_rates(scored: DataFrame, prediction: str = "prediction") -> DataFrame:
+    """Mean and population deviation over folds: ``(metric, mean, std)`` of rows ``label, fold, prediction``; 0 where undefined."""
+    says, yes = F.col(prediction) == 1, F.col("label") == 1
+    ratio = lambda a, b: F.coalesce(F.try_divide(F.count_if(a), F.count_if(b)), F.lit(0.0))
+    per = scored.groupBy("fold").agg(
+        F.avg((says == yes).cast("double")).alias("accuracy"), ratio(says & yes, says).alias("precision"), ratio(says & yes, yes).alias("recall")
+    )
+    long = per.select(F.expr("stack(3, 'accuracy', accuracy, 'precision', precision, 'recall', recall) as (metric, value)"))
+    return long.groupBy("metric").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
+
+
 def cross_val(df: DataFrame, models: Mapping[str, Estimator], key: str, folds: int = 5, metrics: Sequence[str] = tuple(METRICS), seed: int = 42) -> DataFrame:
     """Mean and standard deviation (population) over folds per model and metric.
 

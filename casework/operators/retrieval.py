@@ -13,8 +13,6 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -183,92 +181,6 @@ def _arrow(t: T.DataType) -> pa.DataType:
     return {T.LongType: pa.int64(), T.IntegerType: pa.int32(), T.StringType: pa.string()}[type(t)]
 
 
-def train_lists(corpus: DataFrame, lists: int = 64, vector: str = "vector", seed: int = 42, fraction: float = 1.0) -> np.ndarray:
-    """Centroids for the approximate index; ``lists`` rows, at most a few thousand.
-
-    At scale train on a ``fraction``; the index still holds every row.
-    """
-    sample = corpus if fraction >= 1 else corpus.sample(fraction, seed)
-    data = sample.select(array_to_vector(F.col(vector).cast("array<double>")).alias("features"))
-    model = KMeans(k=lists, seed=seed, maxIter=10).fit(data)
-    return np.asarray(model.clusterCenters())
-
-
-def _nearest_lists(vector: str, centroids: np.ndarray, probes: int):
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def nearest(vectors: pd.Series) -> pd.Series:
-        rows = np.stack(vectors.to_numpy()).astype(np.float64)
-        distance = (centroids**2).sum(1) - 2 * rows @ centroids.T
-        return pd.Series(list(np.argsort(distance, axis=1)[:, :probes].astype(np.int32)))
-
-    return nearest(F.col(vector))
-
-
-def knn_approx(
-    queries: DataFrame,
-    corpus: DataFrame,
-    centroids: np.ndarray,
-    k: int = 5,
-    probes: int = 8,
-    *,
-    query_id: str = "q_id",
-    id: str = "id",
-    vector: str = "vector",
-    query_floats: int = QUERY_FLOATS,
-    block_rows: int = BLOCK_ROWS,
-) -> DataFrame:
-    """Approximate cosine neighbours: each question is scored against its ``probes`` nearest lists.
-
-    Corpus rows are scored where they lie; a crowded list is spread over its files and tasks,
-    so it never becomes one group. Questions beyond the broadcast bound meet the same lists in
-    blocks, with the same result. Raise ``probes`` for recall; :func:`knn_exact` is the exact form.
-    """
-    q = queries.select(F.col(query_id).alias("q_id"), F.col(vector).alias("vector")).where("vector is not null")
-    c = corpus.select(F.col(id).alias("id"), F.col(vector).alias("vector")).where("vector is not null")
-    dim = centroids.shape[1]
-    bound = max(1, min(MAX_BROADCAST_QUESTIONS, query_floats // dim))
-    probed = q.withColumn("lists", _nearest_lists("vector", centroids, probes))
-    listed = c.withColumn("list", F.get(_nearest_lists("vector", centroids, 1), F.lit(0)))
-    best = Window.partitionBy("q_id").orderBy(F.col("score").desc(), "id")
-    rows = probed.limit(bound + 1).collect()
-    out = T.StructType(
-        [T.StructField("q_id", q.schema["q_id"].dataType), T.StructField("id", c.schema["id"].dataType), T.StructField("score", T.DoubleType())]
-    )
-    if len(rows) > bound:
-        asked = probed.select("q_id", "vector", F.explode("lists").alias("list"))
-        scored = _knn_blocked(asked, listed, dim, k, out, block_rows, by=["list"])
-        return scored.withColumn("rank", F.row_number().over(best).cast("long")).where(F.col("rank") <= k)
-    sc = c.sparkSession.sparkContext
-    matrix = np.asarray([r.vector for r in rows], dtype=np.float64)
-    members: dict[int, np.ndarray] = {}
-    for i, r in enumerate(rows):
-        for lst in r.lists:
-            members.setdefault(lst, []).append(i)
-    shared = sc.broadcast((matrix, {b: np.asarray(v) for b, v in members.items()}, [r.q_id for r in rows]))
-    arrow = pa.schema([("q_id", _arrow(out["q_id"].dataType)), ("id", _arrow(out["id"].dataType)), ("score", pa.float64())])
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        all_q, by_list, ids = shared.value
-        names = pa.array(ids, type=arrow.field("q_id").type)
-        top = _Best(len(all_q), k)
-        for batch in batches:
-            vectors, keys = _matrix(batch.column("vector"), dim), batch.column("id")
-            lists = batch.column("list").to_numpy(zero_copy_only=False)
-            for lst in np.unique(lists):
-                asked = by_list.get(int(lst))
-                if asked is None:
-                    continue
-                here = np.nonzero(lists == lst)[0]
-                low = top.floor[asked]
-                for who, row, scores in _top(vectors[here], all_q[asked], k, low):
-                    top.add(asked[who], keys.take(pa.array(here[row])), scores)
-                top.floor[asked] = low
-        yield from top.table(names, arrow).to_batches()
-
-    scored = listed.mapInArrow(score, out)
-    return scored.withColumn("rank", F.row_number().over(best).cast("long")).where(F.col("rank") <= k)
-
-
 def keyword_index(
     chunks: DataFrame, id: str = "id", text: str = "content", keep: Sequence[str] = (), tokenise: Callable[[Column], Column] = terms
 ) -> DataFrame:

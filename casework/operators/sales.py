@@ -80,6 +80,7 @@ def utilisation(bookings: DataFrame, live: Column) -> DataFrame:
     )
 
 
-def double_bookings_per_week(conflicts: DataFrame) -> DataFrame:
-    """Conflicting pairs per week (Monday) of the later start."""
-    return conflicts.groupBy(F.to_date(F.date_trunc("week", "from")).alias("week")).agg(F.count(F.lit(1)).alias("double_bookings"))
+def double_bookings_per_week(counts: DataFrame, start: str = "start", earlier: str = "earlier") -> DataFrame:
+    """Conflicting pairs per week (Monday) of the later start, from :func:`casework.operators.intervals.conflict_counts`."""
+    week = F.to_date(F.date_trunc("week", start))
+    return counts.where(F.col(earlier) > 0).groupBy(week.alias("week")).agg(F.sum(earlier).alias("double_bookings"))

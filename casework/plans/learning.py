@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from casework.operators import clustering, compare, evaluation, features, metrics, models
+from casework.operators import blocks, boosting, clustering, compare, evaluation, features, logistic, metrics, models
 from casework.plans.measures import NUMERIC, SQL_LABELLED, labelled
 from casework.plans.registry import query
 from casework.plans.relations import SQL_SCORED, scored
@@ -120,21 +121,69 @@ def scored_rates(predictions, name):
     return metrics.class_metrics(predictions).select(F.lit(name).alias("model"), "*")
 
 
+#: Folds are dealt by another hash than the split, which has already used the low numbers of its own.
+FOLD_SEED = 43
+
+SQL_TRAINING = f"""keyed AS (SELECT *, concat_ws('/', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS key, l_returnflag = 'R' AS label FROM lineitem),
+training AS (SELECT *, floor({SQL_HASH.replace('42:', '43:').format('key')} * 5)::BIGINT AS fold FROM keyed WHERE {SQL_HASH.format('key')} >= 0.3)"""
+
+
+def folded(t):
+    """Training rows with ``x`` (array), ``label`` and ``fold``."""
+    train, _ = train_test(t)
+    return train.select(vector_to_array("features").alias("x"), "label", "l_shipdate", features.fold("key", 5, FOLD_SEED).alias("fold"))
+
+
+def packed(df):
+    return blocks.pack(df, "x", F.col("label"), F.col("fold"))
+
+
 @query("m9_fit_logistic")
 def _(t):
     train, test = train_test(t)
+    settings = [logistic.Setting(None), logistic.Setting("l1"), logistic.Setting("l2"), logistic.Setting("elasticnet", 1.0, 0.5)]
+    fitted = logistic.fit(blocks.pack(train, "features", F.col("label")), settings)
+    scored = test.select(vector_to_array("features").alias("x"), "label")
     parts = [
-        scored_rates(models.fit_logistic(train, penalty, C=1.0, max_iter=20).transform(test), str(penalty))
-        for penalty in (None, "l1", "l2", "elasticnet")
+        scored_rates(scored.select("label", (logistic.margin(F.col("x"), w) > 0).cast("double").alias("prediction")), s.name)
+        for s, w in zip(settings, fitted.coefficients)
     ]
     return compare.union_runs(*parts)
 
 
+def sql_values(names):
+    return ", ".join(f"('{n}')" for n in names)
+
+
+@query(
+    "m9_score_equations",
+    f"""WITH {SQL_TRAINING} SELECT setting, (SELECT count(*) FROM training) AS rows, true AS solved FROM (VALUES {sql_values([s.name for s in logistic.GRID])}) v(setting)""",
+)
+def _(t):
+    """Every model of the search grid meets its optimality conditions, recomputed by column sums."""
+    train = folded(t)
+    fitted = logistic.fit(packed(train), logistic.GRID)
+    check = logistic.score_equations(train, "x", F.col("label"), fitted.coefficients, logistic.GRID)
+    names = t.spark.createDataFrame([(i, s.name) for i, s in enumerate(logistic.GRID)], "model long, setting string")
+    return check.join(names, "model").select("setting", "rows", (F.col("residual") < 1e-5).alias("solved"))
+
+
 @query("m10_logit_summary")
 def _(t):
     return models.logit_summary(train_test(t)[0], NUMERIC)
 
 
+@query("m10_logit_equations", f"WITH {SQL_TRAINING} SELECT count(*) AS rows, {len(NUMERIC) + 1}::BIGINT AS terms, true AS solved FROM training")
+def _(t):
+    """The unpenalised coefficients solve the score equations, recomputed by column sums."""
+    train, _ = train_test(t)
+    summary = {r.term: r.coefficient for r in models.logit_summary(train, NUMERIC).collect()}
+    check = logistic.score_equations(
+        train.select(vector_to_array("features").alias("x"), "label"), "x", F.col("label"), [[summary[c] for c in (*NUMERIC, "intercept")]], [logistic.Setting(None)]
+    )
+    return check.select("rows", F.lit(len(summary)).cast("long").alias("terms"), (F.col("residual") < 1e-5).alias("solved"))
+
+
 @query("m11_fit_tree")
 def _(t):
     train, test = train_test(t)
@@ -168,16 +217,39 @@ def _(t):
         "dt": DecisionTreeClassifier(maxDepth=4, seed=42),
         "rf": RandomForestClassifier(numTrees=5, maxDepth=4, seed=42),
     }
-    return scored_rates(models.fit_stack(train, bases, "key", folds=3)(test), "stack")
+    return scored_rates(models.fit_stack(train, bases, "key", folds=3, seed=FOLD_SEED)(test), "stack")
+
+
+def by_season(df):
+    """A balanced target gives the stumps something to learn."""
+    return df.withColumn("label", (F.month("l_shipdate") <= 6).cast("double"))
 
 
 @query("m16_fit_adaboost")
 def _(t):
     train, test = train_test(t)
-    # A balanced target gives the stumps something to learn.
-    by_price = lambda df: df.withColumn("label", (F.month("l_shipdate") <= 6).cast("double"))
-    stumps = models.fit_adaboost(by_price(train), rounds=5)
-    return scored_rates(models.adaboost_predict(by_price(test), stumps), "adaboost")
+    stumps = boosting.fit(by_season(train), rounds=100, rate=0.1)[0]
+    return scored_rates(boosting.predict(by_season(test), stumps), "adaboost")
+
+
+@query(
+    "m16_first_stump",
+    f"""WITH {SQL_TRAINING}, long AS (
+  SELECT unnest([0, 1, 2]) AS feature, unnest([l_quantity::DOUBLE, l_discount::DOUBLE, l_tax::DOUBLE]) AS x, (month(l_shipdate) <= 6)::INT AS y FROM training),
+cells AS (SELECT feature, x, count(*) AS n, sum(y) AS p FROM long GROUP BY ALL),
+sides AS (SELECT feature, x AS threshold, sum(n) OVER w AS n1, sum(p) OVER w AS p1, sum(n) OVER (PARTITION BY feature) AS n, sum(p) OVER (PARTITION BY feature) AS p FROM cells WINDOW w AS (PARTITION BY feature ORDER BY x)),
+pure AS (SELECT *, n1 - (p1 * p1 + (n1 - p1) * (n1 - p1))::DOUBLE / n1 + (n - n1) - ((p - p1) * (p - p1) + (n - n1 - p + p1) * (n - n1 - p + p1))::DOUBLE / (n - n1) AS impurity FROM sides WHERE n1 < n),
+best AS (SELECT * FROM pure ORDER BY impurity, feature, threshold LIMIT 1)
+SELECT feature::BIGINT AS feature, threshold, (p1 > n1 - p1)::BIGINT AS left_vote, (p - p1 > n - n1 - p + p1)::BIGINT AS right_vote,
+  round((least(p1, n1 - p1) + least(p - p1, n - n1 - p + p1)) / n, 9)::DOUBLE AS error FROM best""",
+)
+def _(t):
+    """The first round on features of few values, where every value is a threshold."""
+    train = by_season(folded(t)).select("label", F.array(*[F.get("x", F.lit(i)) for i in (0, 2, 3)]).alias("x"))
+    j, threshold, left, right, alpha = boosting.fit(train, rounds=1, features="x")[0][0]
+    error = F.lit(1.0) / (1 + F.exp(F.lit(alpha)))
+    one = t.spark.createDataFrame([(j, threshold, int(left), int(right))], "feature long, threshold double, left_vote long, right_vote long")
+    return one.withColumn("error", F.round(error, 9))
 
 
 @query("m17_rfe")
@@ -188,16 +260,34 @@ def _(t):
 @query("m18_search")
 def _(t):
     train, _ = train_test(t)
-    full = models.search_table(models.grid_search(train, LogisticRegression(maxIter=10), {"regParam": [0.0, 0.1]}, folds=3), t.spark)
+    full = logistic.search(packed(folded(t)))[0]
     drawn = models.random_search(train, RandomForestClassifier(seed=42), {"numTrees": [3, 5], "maxDepth": [2, 3]}, n=2, folds=3)
     return compare.union_runs(full.withColumn("search", F.lit("grid")), models.search_table(drawn, t.spark).withColumn("search", F.lit("random")))
 
 
+@query(
+    "m18_models",
+    f"""WITH {SQL_TRAINING}, f AS (SELECT fold, (SELECT count(*) FROM training) - count(*) AS rows FROM training GROUP BY fold)
+SELECT setting, fold, rows, true AS solved FROM f, (VALUES {sql_values([s.name for s in logistic.GRID])}) v(setting)""",
+)
+def _(t):
+    """Rows and optimality of every (setting, fold) model of the search."""
+    fitted = logistic.fit(packed(folded(t)), logistic.GRID, folds=5)
+    rows = [(logistic.GRID[s].name, int(f), int(n), bool(r < 1e-6)) for s, f, n, r in zip(fitted.owner, fitted.folds, fitted.rows, fitted.residual) if f >= 0]
+    return t.spark.createDataFrame(rows, "setting string, fold long, rows long, solved boolean")
+
+
 @query("m19_cross_val")
 def _(t):
-    train, _ = train_test(t)
-    candidates = {"logistic": LogisticRegression(maxIter=10), "tree": DecisionTreeClassifier(maxDepth=3, seed=42)}
-    return models.cross_val(train, candidates, "key", folds=5)
+    train, data = train_test(t)[0], folded(t)
+    fitted = logistic.fit(packed(data), [logistic.Setting("l2")], folds=5)
+    by_fold = lambda fn: F.coalesce(*[F.when(F.col("fold") == f, fn(f)) for f in range(5)])
+    linear = data.withColumn("prediction", (by_fold(lambda f: logistic.margin(F.col("x"), fitted.model(0, f))) > 0).cast("int"))
+    stumps = boosting.fit(data, 100, 0.1, features="x", fold=F.col("fold"), folds=5)
+    boosted = data.withColumn("prediction", (by_fold(lambda f: boosting.score(F.col("x"), stumps[f + 1])) > 0).cast("int"))
+    own = [models.fold_rates(df).withColumn("model", F.lit(n)) for n, df in (("logistic", linear), ("adaboost", boosted))]
+    tree = models.cross_val(train, {"tree": DecisionTreeClassifier(maxDepth=10, seed=42)}, "key", folds=5, seed=FOLD_SEED)
+    return compare.union_runs(tree, *own).select("model", "metric", "mean", "std")
 
 
 def ruled(t, threshold):
@@ -288,20 +378,56 @@ def _(t):
     return t.spark.createDataFrame([(i + 1, float(v)) for i, v in enumerate(explained)], "component long, variance double")
 
 
+@query("m24_pca_total", "SELECT 64::BIGINT AS components, 1.0::DOUBLE AS total, true AS falling")
+def _(t):
+    """All components together hold the whole variance, largest first."""
+    explained = clustering.pca(vectors(t), k=64)[1].explainedVariance.toArray()
+    falling = bool((explained[:-1] >= explained[1:] - 1e-12).all())
+    return t.spark.createDataFrame([(len(explained), round(float(explained.sum()), 9), falling)], "components long, total double, falling boolean")
+
+
+def reduced(t):
+    """Embeddings on their first 50 principal components."""
+    data, _ = clustering.pca(vectors(t), k=50)
+    return data.select(vector_to_array("pca").alias("x"))
+
+
 @query("m25_kmeans")
 def _(t):
-    return clustering.cluster_sizes(clustering.kmeans(vectors(t), 2)[0])
+    found = clustering.kmeans_starts(reduced(t), [2], starts=10, features="x")[2]
+    return t.spark.createDataFrame([(i, int(n)) for i, n in enumerate(found.sizes)], "cluster long, size long")
 
 
 @query("m26_elbow")
 def _(t):
-    return clustering.elbow(vectors(t))
+    return clustering.elbow(reduced(t), range(1, 7), features="x", starts=10)
+
+
+@query("m26_elbow_checks", "SELECT k, (SELECT count(*) FROM embeddings) AS rows, true AS settled, true AS falling FROM range(1, 7) r(k)")
+def _(t):
+    """Of each k: rows of all clusters, whether centres are the means of their rows, and whether the cost is at most that of k - 1."""
+    data = materialise(reduced(t), "reduced")
+    found = clustering.kmeans_starts(data, range(1, 7), starts=10, features="x", tolerance=0.0)
+    rows = []
+    for k, c in found.items():
+        means = clustering.group_sums(data.withColumn("cluster", clustering.nearest_centre(F.col("x"), c.centres)), "x", "cluster").collect()
+        settled = all(abs(a - b) < 1e-6 for m in means for a, b in zip(m.centre, c.centres[m.label]))
+        rows.append((k, sum(m.n for m in means), settled, k == 1 or c.cost <= found[k - 1].cost))
+    return t.spark.createDataFrame(rows, "k long, rows long, settled boolean, falling boolean")
 
 
-@query("m27_silhouette")
+@query(
+    "m27_silhouette",
+    """WITH far AS (
+  SELECT a.vec_id, a.label, b.label AS other, sum(2 - 2 * list_inner_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) + (list_inner_product(a.embedding::DOUBLE[], a.embedding::DOUBLE[]) - 1) + (list_inner_product(b.embedding::DOUBLE[], b.embedding::DOUBLE[]) - 1)) AS total, count(*) AS n
+  FROM embeddings a CROSS JOIN embeddings b GROUP BY ALL),
+own AS (SELECT vec_id, total / nullif(n - 1, 0) AS a FROM far WHERE label = other),
+near AS (SELECT vec_id, min(total / n) AS b FROM far WHERE label <> other GROUP BY 1)
+SELECT round(avg(CASE WHEN a IS NULL THEN 0 WHEN a < b THEN 1 - a / b WHEN a > b THEN b / a - 1 ELSE 0 END), 6) AS silhouette FROM own JOIN near USING (vec_id)""",
+)
 def _(t):
-    value = clustering.silhouette(clustering.kmeans(vectors(t), 2)[0])
-    return t.spark.createDataFrame([(float(value),)], "silhouette double")
+    data = vectors(t).withColumn("cluster", F.col("label").cast("int"))
+    return t.spark.createDataFrame([(round(float(clustering.silhouette(data)), 6),)], "silhouette double")
 
 
 SQL_LONG = """long AS (SELECT vec_id, label, i, embedding[i]::DOUBLE AS x FROM embeddings, range(1, 65) r(i)),
@@ -332,4 +458,4 @@ def _(t):
 
 @query("m29_davies_bouldin_by_k")
 def _(t):
-    return clustering.davies_bouldin_by_k(vectors(t), ks=range(2, 5))
+    return clustering.davies_bouldin_by_k(reduced(t), ks=range(2, 7), features="x")

@@ -255,7 +255,7 @@ def _(t):
     f"""WITH {SQL_BOOKINGS} SELECT strftime(date_trunc('week', "from"), '%Y-%m-%d') AS week, count(*) AS double_bookings FROM conflicts GROUP BY 1""",
 )
 def _(t):
-    return sales.double_bookings_per_week(intervals.interval_conflicts(bookings(t).where("live"), "room", "id"))
+    return sales.double_bookings_per_week(intervals.conflict_counts(bookings(t).where("live"), "room", "id"))
 
 
 SQL_DAILY = f"""WITH {SQL_INCIDENTS}, d AS (SELECT (ts - INTERVAL 7 HOUR)::DATE AS day, severity, CASE user_id % 3 WHEN 0 THEN 'fall' WHEN 1 THEN 'behaviour' ELSE 'other' END AS category FROM incidents),

@@ -10,15 +10,21 @@ from casework.plans.measures import categorised
 from casework.plans.registry import query
 from casework.plans.relations import FMT, SQL_ACKED
 from casework.session import scratch_path
+from casework.sources.versions import VersionedTable
 from casework.streaming import jobs, ladder
 
 
-def staged(t, name, *frames):
-    """Write frames as consecutive stream files and return folder and schema."""
-    path = scratch_path(t.spark, name)
-    for frame in frames:
-        frame.coalesce(1).write.mode("append").parquet(path)
-    return path, frames[0].schema
+def played(t, name, steps, start):
+    """Feed a stream step by step: each step's frames are written with their own partitions and the job runs until it has read them.
+
+    ``steps`` maps source names to frames; ``start`` takes the streams' folders and schemas by source, and a checkpoint folder.
+    """
+    sources = {k: (scratch_path(t.spark, f"{name}-{k}"), df.schema) for k, df in steps[0].items()}
+    checkpoint = scratch_path(t.spark, f"{name}-checkpoint")
+    for step in steps:
+        for k, df in step.items():
+            df.write.mode("append").parquet(sources[k][0])
+        start(sources, checkpoint)
 
 
 def closing(df, ts="ts", **fixed):
@@ -31,11 +37,14 @@ def closing(df, ts="ts", **fixed):
     return last.select(*cols)
 
 
-def sink(t, df, name):
-    """Run a stream into a parquet folder and read it back."""
-    path = scratch_path(t.spark, name)
-    jobs.run_available(df.writeStream.format("parquet").option("path", path).outputMode("append"), scratch_path(t.spark, f"{name}-checkpoint"))
-    return t.spark.read.schema(df.schema).parquet(path)
+def into(t, path, build, ts="ts"):
+    """A ``start`` for :func:`played`: the job ``build`` makes of the streams, appended to a parquet folder."""
+
+    def start(sources, checkpoint):
+        out = build(**{k: jobs.read_stream(t.spark, folder, schema, ts) for k, (folder, schema) in sources.items()})
+        jobs.run_available(out.writeStream.format("parquet").option("path", path).outputMode("append"), checkpoint)
+
+    return start
 
 
 @query(
@@ -63,13 +72,14 @@ SELECT doc_id, chunk_index, md5(content) AS content_md5 FROM chunks""",
 def _(t):
     docs = t.documents.select("doc_id", "text", "lang")
     changed = docs.where("lang = 'en'").withColumn("text", F.concat("text", F.lit(" and these words were added later")))
-    folder, schema = staged(t, "documents", docs, changed)
-    path = scratch_path(t.spark, "index")
-    stream = jobs.read_stream(t.spark, folder, schema, files_per_trigger=1)
+    table = VersionedTable(t.spark, scratch_path(t.spark, "index"), "doc_id")
     chunk = lambda batch: corpus.chunk_fixed(batch.select("doc_id", "text"), "doc_id", "text")
-    jobs.run_available(jobs.index_stream(stream, path, chunk), scratch_path(t.spark, "index-checkpoint"))
-    current = jobs.latest_groups(t.spark.read.parquet(path), "doc_id")
-    return current.select("doc_id", "chunk_index", F.md5("content").alias("content_md5"))
+
+    def start(sources, checkpoint):
+        jobs.run_available(jobs.index_stream(jobs.read_stream(t.spark, *sources["docs"]), table, chunk, compact_every=2), checkpoint)
+
+    played(t, "documents", [{"docs": docs}, {"docs": changed}], start)
+    return table.read().select("doc_id", "chunk_index", F.md5("content").alias("content_md5"))
 
 
 LIMITS = {"critical": 15, "high": 120}
@@ -83,11 +93,11 @@ FROM acked WHERE severity <> 'standard' AND coalesce(epoch(acked_at - ts) / 60 >
 def _(t):
     jobs.use_rocksdb(t.spark)
     opened, answered = incidents(t), acks(t)
-    left = staged(t, "incidents", opened, closing(opened, event_id=-1, user_id=-1, severity="high"))
-    right = staged(t, "acks", answered, closing(answered, user_id=-1))
-    streams = [jobs.read_stream(t.spark, *s, "ts", files_per_trigger=1) for s in (left, right)]
-    out = sink(t, jobs.unacked_stream(*streams, "user_id", "ts", LIMITS), "unacked")
-    return out.where("event_id >= 0").select("event_id", "severity", "deadline")
+    last = {"incidents": closing(opened, event_id=-1, user_id=-1, severity="high"), "acks": closing(answered, user_id=-1)}
+    path = scratch_path(t.spark, "unacked")
+    watch = lambda incidents, acks: jobs.unacked_stream(incidents, acks, "user_id", "ts", LIMITS)
+    played(t, "incidents", [{"incidents": opened, "acks": answered}, last], into(t, path, watch))
+    return t.spark.read.parquet(path).where("event_id >= 0").select("event_id", "severity", "deadline")
 
 
 @query(
@@ -101,9 +111,10 @@ def _(t):
     acked = intervals.first_ack(incidents(t), acks(t), "user_id", "event_id")
     cols = lambda kind, ts: [F.col("event_id").alias("incident_id"), F.lit(kind).alias("kind"), "severity", F.col(ts).alias("ts")]
     log = acked.select(*cols("incident", "ts")).unionByName(acked.where("acked_at is not null").select(*cols("ack", "acked_at")))
-    folder, schema = staged(t, "ladder", log, closing(log, incident_id=-1, kind="ack", severity="standard"))
-    stream = jobs.read_stream(t.spark, folder, schema, "ts", files_per_trigger=1)
-    return sink(t, ladder.escalation_ladder(stream), "ladder-log")
+    path = scratch_path(t.spark, "ladder-log")
+    steps = [{"log": log}, {"log": closing(log, incident_id=-1, kind="ack", severity="standard")}]
+    played(t, "ladder", steps, into(t, path, lambda log: ladder.escalation_ladder(log)))
+    return t.spark.read.parquet(path)
 
 
 @query(
@@ -115,9 +126,10 @@ SELECT day, severity, category, count(*) AS incidents FROM d GROUP BY ALL""",
 def _(t):
     jobs.use_rocksdb(t.spark)
     rows = categorised(t).select("ts", "severity", "category")
-    folder, schema = staged(t, "categorised", rows, closing(rows, severity="none", category="none"))
-    stream = jobs.read_stream(t.spark, folder, schema, "ts", files_per_trigger=1)
-    return sink(t, jobs.tumbling_counts(stream, "ts", ["severity", "category"]), "daily").where("severity <> 'none'")
+    path = scratch_path(t.spark, "daily")
+    steps = [{"rows": rows}, {"rows": closing(rows, severity="none", category="none")}]
+    played(t, "categorised", steps, into(t, path, lambda rows: jobs.tumbling_counts(rows, "ts", ["severity", "category"])))
+    return t.spark.read.parquet(path).where("severity <> 'none'")
 
 
 @query(
@@ -126,10 +138,12 @@ def _(t):
 UNION ALL SELECT 'notify', event_type, count(*) FROM events WHERE (value % 100) / 100 < 0.7 GROUP BY ALL""",
 )
 def _(t):
-    folder, schema = staged(t, "audit-records", audit_records(t).select("event_id", "topic", "top_score"))
-    stream = jobs.read_stream(t.spark, folder, schema)
     log, notify = scratch_path(t.spark, "log"), scratch_path(t.spark, "notify")
-    jobs.run_available(jobs.alerts(stream, F.col("top_score") < 0.7, log, notify), scratch_path(t.spark, "alerts-checkpoint"))
+
+    def start(sources, checkpoint):
+        jobs.run_available(jobs.alerts(jobs.read_stream(t.spark, *sources["records"]), F.col("top_score") < 0.7, log, notify), checkpoint)
+
+    played(t, "audit", [{"records": audit_records(t).select("event_id", "topic", "top_score")}], start)
     read = lambda path, name: t.spark.read.parquet(path).groupBy(F.lit(name).alias("target"), "topic").agg(F.count(F.lit(1)).alias("n"))
     return read(log, "log").unionByName(read(notify, "notify"))
 
@@ -140,13 +154,14 @@ def _(t):
 QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1""",
 )
 def _(t):
-    """Two files: settled changes first, pending ones later; the later approval wins, whichever file brings it."""
+    """Two steps: settled changes first, pending ones later; the later approval wins, whichever step brings it."""
     rows = t.orders.select(
         "o_custkey", "o_orderkey", "o_totalprice", F.col("o_orderdate").alias("approved"), (F.col("o_orderdate") + F.make_dt_interval(hours=(F.col("o_orderkey") % 5).cast("int"))).alias("synced"), "o_orderstatus"
     )
-    folder, schema = staged(t, "changes", rows.where("o_orderstatus <> 'P'"), rows.where("o_orderstatus = 'P'"))
-    stream = jobs.read_stream(t.spark, folder, schema, files_per_trigger=1)
-    path = scratch_path(t.spark, "catalogue")
-    jobs.run_available(jobs.price_sync(stream, path, "o_custkey", "approved", "synced", "o_orderkey"), scratch_path(t.spark, "catalogue-checkpoint"))
-    newest = jobs.latest_rows(t.spark.read.parquet(path), "o_custkey", [F.col("approved").desc(), F.col("o_orderkey").desc()])
-    return newest.select("o_custkey", "o_orderkey", "o_totalprice", "late")
+    table = VersionedTable(t.spark, scratch_path(t.spark, "catalogue"), "o_custkey", ["approved", "o_orderkey"])
+
+    def start(sources, checkpoint):
+        jobs.run_available(jobs.price_sync(jobs.read_stream(t.spark, *sources["changes"]), table, "approved", "synced"), checkpoint)
+
+    played(t, "changes", [{"changes": rows.where("o_orderstatus <> 'P'")}, {"changes": rows.where("o_orderstatus = 'P'")}], start)
+    return table.read().select("o_custkey", "o_orderkey", "o_totalprice", "late")

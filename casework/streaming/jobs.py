@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from casework.sources.versions import VersionedTable
+
 # Fixed values.
 LATENESS = "1 hour"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -59,68 +61,61 @@ def json_log(df: DataFrame, path: str):
     return df.writeStream.format("json").option("path", path).partitionBy("date").outputMode("append")
 
 
-def versioned_sink(path: str, prepare: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` sink writing each batch to its own ``load`` folder.
+def versioned_sink(table: VersionedTable, prepare: Callable[[DataFrame], DataFrame], removed: Callable[[DataFrame], DataFrame] | None = None, compact_every: int | None = None) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` sink that publishes each batch as one version of a table.
 
-    A retried batch overwrites only its own folder, so it counts once. Nothing that exists is
-    rewritten; readers pick the newest version with :func:`latest_rows` or :func:`latest_groups`.
+    A retried batch is known by its number and counts once. ``removed`` gives the keys whose older rows go;
+    with ``compact_every`` loads are merged whenever so many have gathered.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        prepare(batch).write.mode("overwrite").parquet(f"{path}/load={batch_id}")
+        done = table.apply(prepare(batch), f"batch {batch_id}", removed(batch) if removed else None)
+        if compact_every and len(done.folders) >= compact_every:
+            table.compact()
 
     return write
 
 
-def latest_groups(table: DataFrame, key: str) -> DataFrame:
-    """Rows of the newest load of each key; a re-ingested document replaces all its old chunks.
-
-    Marker rows (see :func:`index_stream`) count for the newest load and are not returned.
-    """
-    newest = table.groupBy(F.col(key).alias("__k")).agg(F.max("load").alias("__l"))
-    rows = table.where("NOT marker").drop("marker") if "marker" in table.columns else table
-    return rows.join(newest, (F.col(key) == F.col("__k")) & (F.col("load") == F.col("__l")), "left_semi")
-
-
-def latest_rows(table: DataFrame, key: str, order: Sequence[Column] = ()) -> DataFrame:
-    """Newest row per key by ``order``, then by load, so that a change arriving late does not go back in time."""
-    w = Window.partitionBy(key).orderBy(*order, F.col("load").desc())
-    return table.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
-
-
-def index_stream(src: DataFrame, path: str, chunk: Callable[[DataFrame], DataFrame], key: str = "doc_id"):
+def index_stream(src: DataFrame, table: VersionedTable, chunk: Callable[[DataFrame], DataFrame], key: str = "doc_id", compact_every: int | None = None):
     """New and changed documents re-chunked into a versioned index.
 
-    Every processed document leaves a marker row, so one that no longer yields a chunk loses its old ones.
+    Every processed document replaces its old chunks, also when it no longer yields any.
     """
+    return src.writeStream.foreachBatch(versioned_sink(table, chunk, lambda batch: batch.select(key), compact_every)).outputMode("append")
 
-    def prepare(batch: DataFrame) -> DataFrame:
-        marks = batch.select(key).withColumn("marker", F.lit(True))
-        return chunk(batch).withColumn("marker", F.lit(False)).unionByName(marks, allowMissingColumns=True)
 
-    return src.writeStream.foreachBatch(versioned_sink(path, prepare)).outputMode("append")
+def forget(table: VersionedTable, gone: DataFrame, batch: str) -> None:
+    """Take the documents ``gone`` (their keys) out of a versioned index."""
+    empty = table.read().limit(0)
+    table.apply(empty, batch, gone)
 
 
 def unacked_stream(incidents: DataFrame, acks: DataFrame, key: str, ts: str, limits: dict[str, int], lateness: str = LATENESS) -> DataFrame:
     """Incidents not acknowledged within the minutes their severity allows.
 
     A left-outer interval join; an incident comes out once both watermarks have passed its limit.
-    Severities without a limit are left out.
+    Severities without a limit are left out. The sides meet by key and stretch of time, as long as the
+    longest limit, so a key with very many incidents is spread over tasks: an acknowledgement
+    is sent to its own stretch and the one before, an incident is in one.
     """
     minutes = F.lit(None).cast("int")
     for name, m in limits.items():
         minutes = F.when(F.col("severity") == name, F.lit(m)).otherwise(minutes)
     longest = max(limits.values())
+    stretch = lambda c: F.floor(F.unix_seconds(F.col(c)) / (longest * 60))
     watched = incidents.withColumn("__deadline", F.col(ts) + F.make_dt_interval(mins=minutes)).where("__deadline is not null").withWatermark(ts, lateness)
+    watched = watched.withColumn("__part", stretch(ts))
     answers = acks.select(F.col(key).alias("__ack_key"), F.col(ts).alias("__ack_ts")).withWatermark("__ack_ts", lateness)
+    answers = answers.withColumn("__ack_part", F.explode(F.array(stretch("__ack_ts"), stretch("__ack_ts") - 1)))
     within = (
         (F.col(key) == F.col("__ack_key"))
+        & (F.col("__part") == F.col("__ack_part"))
         & (F.col("__ack_ts") >= F.col(ts))
         & (F.col("__ack_ts") <= F.col(ts) + F.expr(f"interval {longest} minutes"))
         & (F.col("__ack_ts") <= F.col("__deadline"))
     )
     joined = watched.join(answers, within, "left_outer")
-    return joined.where("__ack_ts is null").withColumnRenamed("__deadline", "deadline").drop("__ack_key", "__ack_ts")
+    return joined.where("__ack_ts is null").withColumnRenamed("__deadline", "deadline").drop("__ack_key", "__ack_ts", "__part", "__ack_part")
 
 
 def tumbling_counts(src: DataFrame, ts: str, by: Sequence[str], every: str = "1 day", offset: str = "7 hours", lateness: str = LATENESS) -> DataFrame:
@@ -142,13 +137,13 @@ def alerts(src: DataFrame, escalated: Column, log: str, notify: str):
     return src.writeStream.foreachBatch(write).outputMode("append")
 
 
-def price_sync(src: DataFrame, path: str, key: str, approved: str, synced: str, tiebreak: str, limit: str = "2 hours"):
-    """Approved changes applied to a versioned catalogue; changes later than the limit are flagged."""
+def price_sync(src: DataFrame, table: VersionedTable, approved: str, synced: str, limit: str = "2 hours", compact_every: int | None = None):
+    """Approved changes applied to a versioned catalogue, whose order says which change is newest; changes later than the limit are flagged."""
     late = F.col(synced) > F.col(approved) + F.expr(f"interval {limit}")
-    newest = Window.partitionBy(key).orderBy(F.col(approved).desc(), F.col(tiebreak).desc())
+    newest = Window.partitionBy(table.key).orderBy(*[F.col(c).desc() for c in table.order])
 
     def last_change(batch: DataFrame) -> DataFrame:
         ranked = batch.withColumn("late", late).withColumn("__rn", F.row_number().over(newest))
         return ranked.where("__rn = 1").drop("__rn")
 
-    return src.writeStream.foreachBatch(versioned_sink(path, last_change)).outputMode("append")
+    return src.writeStream.foreachBatch(versioned_sink(table, last_change, compact_every=compact_every)).outputMode("append")

@@ -1,5 +1,7 @@
 """Intervals, tiers, histories, measures, features, models and streams on small frames."""
 
+import math
+import os
 import random
 from datetime import datetime, timedelta
 
@@ -7,8 +9,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from casework.operators import audit, clustering, features, history, intervals, metrics, models, routing, sales
+from casework.operators import audit, boosting, clustering, features, history, intervals, metrics, models, routing, sales
 from casework.session import scratch_path
+from casework.sources.versions import Conflict, VersionedTable
 from casework.streaming import jobs, ladder
 
 START = datetime(2024, 1, 1)
@@ -25,9 +28,33 @@ def test_conflicts_equal_brute_force_in_a_crowded_room(spark):
         (a[1], a[0], b[0]) for a in rows for b in rows
         if a[0] < b[0] and a[1] == b[1] and a[2] < b[3] and b[2] < a[3] and a[2] < a[3] and b[2] < b[3]
     }
-    for seconds in (600, 3600, 86400):
-        pairs = [(r.room, r.a, r.b) for r in intervals.interval_conflicts(df, "room", "id", bucket_seconds=seconds).collect()]
+    for seconds in (1, 60, 3600):
+        pairs = [(r.room, r.a, r.b) for r in intervals.interval_conflicts(df, "room", "id", grain_seconds=seconds).collect()]
         assert len(pairs) == len(set(pairs)) and set(pairs) == want
+    assert intervals.conflict_counts(df, "room", "id").groupBy().sum("earlier").first()[0] == len(want)
+
+
+def test_covers_are_exact_and_logarithmic(spark):
+    rng = random.Random(4)
+    spans = [(a, a + n) for a in (-9, -1, 0, 1, 7, 2**33 + 5) for n in (0, 1, 2, 5, 63)] + [(a := rng.randrange(-1000, 1000), a + rng.randrange(200)) for _ in range(60)]
+    df = spark.createDataFrame(spans, "first long, last long").select("*", intervals.cover(F.col("first"), F.col("last"), F.lit(9)).alias("nodes"))
+    for r in df.collect():
+        cells = [c for n in r.nodes for c in range(n.node << n.level, (n.node + 1) << n.level)]
+        assert sorted(cells) == list(range(r.first, r.last + 1))
+        assert len(r.nodes) <= 2 * math.ceil(math.log2(r.last - r.first + 2))
+
+
+def test_a_year_and_a_minute_meet_in_few_rows(spark):
+    rows = [(0, "r", START, START + timedelta(days=365))]
+    rows += [(i, "r", START + timedelta(days=i), START + timedelta(days=i, minutes=1)) for i in range(1, 200)]
+    df = spark.createDataFrame(rows, "id int, room string, start timestamp_ntz, end timestamp_ntz")
+    found = intervals.interval_conflicts(df, "room", "id")
+    assert [(r.a, r.b) for r in found.orderBy("b").collect()] == [(0, i) for i in range(1, 200)]
+    year = df.where("id = 0").select(F.explode(intervals.cover(intervals._cell("start", 60), intervals._last_cell("end", "start", 60), F.lit(20))))
+    assert year.count() <= 40  # hours alone would be 8,760 rows
+    other = df.where("id > 0").withColumn("id", F.col("id") + 1000)
+    assert intervals.overlapping(df, other, "room", "id").count() == len(rows)
+    assert intervals.overlapping(other, df.where("id = 0"), "room", "id").count() == len(rows) - 1
 
 
 def test_conflict_flags_equal_pairs(spark):
@@ -120,7 +147,7 @@ def test_models_learn(spark, blobs):
     assert accuracy(models.fit_logistic(data, "l1", C=10).transform(data)) > 0.75
     assert accuracy(models.fit_mlp(data, hidden=(4,), max_iter=60).transform(data)) > 0.75
     assert accuracy(models.fit_stack(data, {"t": models.DecisionTreeClassifier(maxDepth=2), "l": models.LogisticRegression()}, "id", folds=3)(data)) > 0.75
-    one, many = (accuracy(models.adaboost_predict(data, models.fit_adaboost(data, rounds=r))) for r in (1, 8))
+    one, many = (accuracy(boosting.predict(data, boosting.fit(data, rounds=r)[0])) for r in (1, 8))
     assert many >= one > 0.75
     ranks = {r.feature: r["rank"] for r in models.rfe(df, ["a", "b"], F.col("y"), numTrees=5, maxDepth=3).collect()}
     assert ranks == {"a": 1, "b": 2}
@@ -174,29 +201,85 @@ def test_ladder_steps_before_and_after_an_ack(spark):
 
 
 def test_retried_batch_counts_once(spark):
-    path = scratch_path(spark, "versions")
-    write = jobs.versioned_sink(path, lambda df: df)
+    table = VersionedTable(spark, scratch_path(spark, "versions"), "k")
+    write = jobs.versioned_sink(table, lambda df: df)
     write(spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string"), 0)
     write(spark.createDataFrame([(1, "c")], "k int, v string"), 1)
     write(spark.createDataFrame([(1, "c")], "k int, v string"), 1)
-    table = spark.read.parquet(path)
-    assert [r.v for r in jobs.latest_groups(table, "k").collect()] == ["c"]
-    assert [r.v for r in jobs.latest_rows(table, "k").collect()] == ["c"]
+    assert [r.v for r in table.read().collect()] == ["c"] and table.versions() == [1, 2]
 
 
 def test_late_older_change_does_not_win(spark):
-    path = scratch_path(spark, "catalogue")
-    write = jobs.versioned_sink(path, lambda df: df)
-    write(spark.createDataFrame([(1, 2, "new")], "k int, approved int, v string"), 0)
-    write(spark.createDataFrame([(1, 1, "old")], "k int, approved int, v string"), 1)
-    newest = jobs.latest_rows(spark.read.parquet(path), "k", [F.col("approved").desc()])
-    assert [r.v for r in newest.collect()] == ["new"]
+    table = VersionedTable(spark, scratch_path(spark, "catalogue"), "k", ["approved"])
+    table.apply(spark.createDataFrame([(1, 2, "new"), (None, 1, "none")], "k int, approved int, v string"), "a")
+    table.apply(spark.createDataFrame([(1, 1, "old"), (None, 3, "later")], "k int, approved int, v string"), "b")
+    assert sorted(r.v for r in table.read().collect()) == ["later", "new"]
 
 
 def test_document_without_chunks_loses_its_old_ones(spark):
-    folder, path = scratch_path(spark, "emptied"), scratch_path(spark, "emptied-index")
+    folder, table = scratch_path(spark, "emptied"), VersionedTable(spark, scratch_path(spark, "emptied-index"), "doc_id")
     for rows in ([(1, "old"), (2, "same")], [(1, "")]):
         spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.mode("append").parquet(folder)
     stream = jobs.read_stream(spark, folder, spark.read.parquet(folder).schema, files_per_trigger=1)
-    jobs.run_available(jobs.index_stream(stream, path, lambda df: df.where("text <> ''")), scratch_path(spark, "emptied-checkpoint"))
-    assert [tuple(r)[:2] for r in jobs.latest_groups(spark.read.parquet(path), "doc_id").collect()] == [(2, "same")]
+    jobs.run_available(jobs.index_stream(stream, table, lambda df: df.where("text <> ''")), scratch_path(spark, "emptied-checkpoint"))
+    assert [tuple(r) for r in table.read().collect()] == [(2, "same")]
+    jobs.forget(table, spark.createDataFrame([(2,)], "doc_id long"), "library")
+    assert table.read().collect() == []
+
+
+def loads_of(table):
+    return sorted(os.listdir(f"{table.path.removeprefix('file:')}/loads"))
+
+
+def test_compaction_halves_the_folders_while_a_reader_keeps_its_version(spark):
+    table = VersionedTable(spark, scratch_path(spark, "compacted"), "k")
+    want = {}
+    for i in range(4):
+        rows = {k: f"{k}-{i}" for k in range(i, 40, i + 1)}
+        gone = [k for k in want if k % 7 == i and k not in rows]
+        want = {k: v for k, v in want.items() if k not in gone} | rows
+        table.apply(spark.createDataFrame(list(rows.items()), "k int, v string").repartition(3), f"load {i}", spark.createDataFrame([(k,) for k in gone], "k int"))
+    reader, version = table.read(), table.versions()[-1]
+    assert len(table.manifest().folders) == 4
+    table.compact()
+    table.apply(spark.createDataFrame([(0, "newest")], "k int, v string"), "load 4")
+    assert len(table.manifest().folders) == 2 < 4
+    assert dict(map(tuple, reader.collect())) == want == dict(map(tuple, table.read(version).collect()))
+    want[0] = "newest"
+    assert dict(map(tuple, table.read().collect())) == want
+    assert len(table.clean(keep=1)) == 4 and len(loads_of(table)) == 2
+    assert dict(map(tuple, table.read().collect())) == want
+    base = spark.read.parquet(f"{table.path}/{table.manifest().folders[0]}")
+    assert base.where("__deleted").count() == 0 and base.groupBy("k").count().where("count > 1").count() == 0
+
+
+def test_two_writers_of_one_version_conflict(spark):
+    table = VersionedTable(spark, scratch_path(spark, "conflict"), "k")
+    with pytest.raises(ValueError, match="no version"):
+        table.read()
+    first = table.apply(spark.createDataFrame([(1, "a")], "k int, v string"), "a")
+    with pytest.raises(Conflict):
+        table._publish(first)
+    assert [tuple(r) for r in table.read().collect()] == [(1, "a")] and table.compact() == first
+
+
+def test_a_hot_user_is_spread_over_time(spark):
+    jobs.use_rocksdb(spark)
+    minute = lambda m: START + timedelta(minutes=m)
+    rng = random.Random(8)
+    opened = [(i, 1, rng.choice(["critical", "high", "standard"]), minute(rng.randrange(3000))) for i in range(150)]
+    answered = [(1, minute(rng.randrange(3000))) for _ in range(40)]
+    limits = {"critical": 15, "high": 120}
+    want = {i for i, _, s, at in opened if s in limits and not any(at <= a <= at + timedelta(minutes=limits[s]) for _, a in answered)}
+    folders = {"i": scratch_path(spark, "hot-incidents"), "a": scratch_path(spark, "hot-acks")}
+    schemas = {"i": "id long, user long, severity string, ts timestamp", "a": "user long, ts timestamp"}
+    out, checkpoint = scratch_path(spark, "hot-out"), scratch_path(spark, "hot-checkpoint")
+    end = minute(100_000)
+    for rows in ({"i": opened, "a": answered}, {"i": [(-1, -1, "high", end)], "a": [(-1, end)]}):
+        for k, part in rows.items():
+            spark.createDataFrame(part, schemas[k]).write.mode("append").parquet(folders[k])
+        streams = [jobs.read_stream(spark, folders[k], spark.createDataFrame([], schemas[k]).schema, "ts") for k in ("i", "a")]
+        unacked = jobs.unacked_stream(*streams, "user", "ts", limits)
+        jobs.run_available(unacked.writeStream.format("parquet").option("path", out).outputMode("append"), checkpoint)
+    got = [r.id for r in spark.read.parquet(out).collect()]
+    assert len(got) == len(set(got)) and set(got) - {-1} == want

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from casework.functions.hooks import register_reranker
-from casework.operators import context, evaluation, filters, retrieval, routing
+from casework.operators import context, evaluation, filters, retrieval, routing, vector_index
 from casework.sources.files import read_eval_set, table
 from tests.conftest import SF
 
@@ -61,12 +61,41 @@ def test_few_ties_leave_a_task(spark):
     assert out.to_pydict() == {"q_id": [7] * 3 + [8] * 3, "id": [0, 1, 2] * 2, "score": [1.0] * 6}
 
 
-def test_approximate_blocks_equal_broadcast(spark, vectors):
+def test_approximate_blocks_equal_broadcast(spark, vectors, tmp_path):
     queries = vectors.withColumnRenamed("id", "q_id").limit(60)
-    centroids = retrieval.train_lists(vectors, 8)
-    want = ranked(retrieval.knn_approx(queries, vectors, centroids, k=5, probes=2))
-    got = ranked(retrieval.knn_approx(queries, vectors, centroids, k=5, probes=2, query_floats=64, block_rows=20))
+    path = vector_index.build(vectors, str(tmp_path / "index"), 8)
+    want = ranked(vector_index.search(queries, path, k=5, probes=2))
+    got = ranked(vector_index.search(queries, path, k=5, probes=2, query_floats=64, block_rows=20))
     assert got == want != ranked(retrieval.knn_exact(queries, vectors, k=5, over=1))
+    assert ranked(vector_index.search(queries, path, k=5, probes=8)) == ranked(retrieval.knn_exact(queries, vectors, k=5, over=1))
+
+
+def test_unprobed_lists_are_not_read(spark, vectors, tmp_path):
+    path = vector_index.build(vectors.where("id % 2 = 0"), str(tmp_path / "index"), 16)
+    before = {p.name: len(list(p.glob("*.parquet"))) for p in (tmp_path / "index" / "lists").glob("list=*")}
+    vector_index.append(vectors.where("id % 2 = 1"), path)
+    after = {p.name: len(list(p.glob("*.parquet"))) for p in (tmp_path / "index" / "lists").glob("list=*")}
+    assert len(before) == 16 and all(after[k] >= n for k, n in before.items())
+    one = vectors.withColumnRenamed("id", "q_id").limit(1)
+    found = vector_index.search(one, path, k=5, probes=2)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(list" in plan or "PartitionFilters: [list" in plan
+    probed = vector_index._nearest(np.asarray([one.first().vector]), vector_index.centroids_of(spark, path), 2)[0]
+    files = vector_index.stored_lists(spark, path, probed).select(F.input_file_name().alias("f")).distinct().collect()
+    assert {r.f.split("list=")[1].split("/")[0] for r in files} == {str(x) for x in probed}
+    assert spark.read.parquet(f"{path}/lists").count() == vectors.count()
+
+
+def test_an_index_of_few_or_equal_vectors(spark, tmp_path):
+    one = spark.createDataFrame([(1, [1.0, 0.0]), (2, None)], "id long, vector array<float>")
+    query = spark.createDataFrame([(7, [1.0, 0.0])], "q_id long, vector array<float>")
+    assert ranked(vector_index.search(query, vector_index.build(one, str(tmp_path / "one")), k=3)) == {7: [1]}
+    same = spark.createDataFrame([(i, [0.0, 1.0]) for i in range(50)], "id long, vector array<float>")
+    path = vector_index.build(same, str(tmp_path / "same"), 4)
+    assert ranked(vector_index.search(query, path, k=3, probes=4)) == {7: [0, 1, 2]}
+    assert vector_index.search(query.limit(0), path).count() == 0
+    with pytest.raises(ValueError, match="at least one"):
+        vector_index.build(one.where("id = 2"), str(tmp_path / "none"))
 
 
 def test_knn_rejects_mixed_dimensions(spark):
@@ -76,12 +105,12 @@ def test_knn_rejects_mixed_dimensions(spark):
         retrieval.knn_exact(query, corpus).collect()
 
 
-def test_approximate_recall(spark, vectors):
+def test_approximate_recall(spark, vectors, tmp_path):
     queries = vectors.withColumnRenamed("id", "q_id").limit(50)
     exact = ranked(retrieval.knn_exact(queries, vectors, k=5, over=1))
-    near = ranked(retrieval.knn_approx(queries, vectors, retrieval.train_lists(vectors, 16), k=5, probes=8))
+    near = ranked(vector_index.search(queries, vector_index.build(vectors, str(tmp_path / "index"), 16), k=5, probes=10))
     hits = sum(len(set(exact[q]) & set(near.get(q, []))) for q in exact)
-    assert hits / sum(map(len, exact.values())) >= 0.8
+    assert hits / sum(map(len, exact.values())) >= 0.9
 
 
 def test_bm25_against_the_formula(spark):
