@@ -268,7 +268,8 @@ def sample(docs: DataFrame, rows: int = ROWS) -> DataFrame:
     labelled = docs.where(~held_out(F.col("id")) & F.col("text").isNotNull() & F.col("lang").isNotNull())
     sizes = labelled.groupBy("lang").agg(F.count("*").alias("n"))
     dealt = F.pmod(F.xxhash64("id", "text", F.lit(11)), F.lit(1 << 40))
-    chosen = labelled.withColumn("dealt", dealt).join(sizes, "lang").where(F.col("dealt") < F.lit(float(rows) * (1 << 40)) / F.col("n"))
+    # One row per language, as the models that travel later; texts must not meet in a shuffle by language.
+    chosen = labelled.withColumn("dealt", dealt).join(F.broadcast(sizes), "lang").where(F.col("dealt") < F.lit(float(rows) * (1 << 40)) / F.col("n"))
     return materialise(chosen.select("text", "lang", F.pmod(F.xxhash64("id", "text", F.lit(12)), F.lit(CALIBRATE)).alias("part")), "language-sample")
 
 
