@@ -28,9 +28,11 @@ ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 #: Pattern per kind; the order is the order of kinds at equal starts.
 PLAIN: dict[str, str] = {"assign": ASSIGN, "access": r"AKIA[A-Z0-9]{12,}", "hex": r"[0-9a-f]{32,}"}
 WEAK: dict[str, str] = {
-    "candidate": r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z+/=_-]{0,60}[0-9])(?=[0-9+/=_-]{0,60}[A-Za-z])[A-Za-z0-9+/=_-]{18,}",
+    "candidate": r"[A-Za-z0-9+/=_-]{18,}",
     "endpoint": r"https?://[A-Za-z0-9.-]+(?::[0-9]+)?",
 }
+#: What a whole match of a kind must hold besides.
+HOLDS = {"candidate": ("[0-9]", "[A-Za-z]")}
 #: Kinds that make a weak candidate worth reporting.
 ANCHORS: dict[str, tuple[str, ...]] = {"candidate": ("access",), "endpoint": ("access", "assign")}
 KINDS = (*PLAIN, *WEAK)
@@ -40,15 +42,17 @@ _SPANS = "array<struct<start:int,kind:int,end:int>>"
 def spans(text: str, kind: str, pattern: str) -> Column:
     """Leftmost non-overlapping matches as an array of (start, kind number, end).
 
-    Starts follow from the lengths of the matches and of the text between them.
+    Starts follow from the lengths of the matches and of the text between them. Matches that lack
+    what ``HOLDS`` asks for are passed over whole.
     """
+    holds = " AND ".join(f"x.hit RLIKE '{p}'" for p in HOLDS.get(kind, ())) or "true"
     quoted = pattern.replace("\\", "\\\\").replace("'", "\\'")
     build = f"""aggregate(
       zip_with(split({text}, '{quoted}', -1), regexp_extract_all({text}, '{quoted}', 0), (g, h) -> struct(g AS gap, h AS hit)),
       struct(0 AS at, cast(array() AS {_SPANS}) AS out),
       (acc, x) -> CASE WHEN x.hit IS NULL THEN acc ELSE struct(
         acc.at + length(x.gap) + length(x.hit) AS at,
-        concat(acc.out, array(struct(acc.at + length(x.gap) AS start, {KINDS.index(kind)} AS kind, acc.at + length(x.gap) + length(x.hit) AS end))) AS out) END,
+        CASE WHEN {holds} THEN concat(acc.out, array(struct(acc.at + length(x.gap) AS start, {KINDS.index(kind)} AS kind, acc.at + length(x.gap) + length(x.hit) AS end))) ELSE acc.out END AS out) END,
       acc -> acc.out)"""
     return F.expr(f"CASE WHEN {text} RLIKE '{quoted}' THEN {build} ELSE cast(array() AS {_SPANS}) END")
 

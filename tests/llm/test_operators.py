@@ -155,6 +155,27 @@ def test_neighbours_recall_ties_and_untidy_vectors(spark):
     assert [(r.rank, r.vec_id, r.score) for r in sorted(small, key=lambda r: r.rank)] == [(1, 1, 1.0), (2, 2, 1.0), (3, 8, 0.5)]
 
 
+def test_neighbours_recall_on_vectors_without_structure(spark):
+    v = np.random.default_rng(12).normal(size=(2500, 24))
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>").repartition(3)
+    got = {}
+    for r in neighbours.search(df, lambda i: F.pmod(i, F.lit(50)) == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = []
+    for q in range(0, 2500, 50):
+        score = v @ v[q]
+        score[q] = -np.inf
+        hits.append(len(got[q] & set(np.argsort(-score)[:20].tolist())) / 20)
+    # Not every neighbour is found, so the search is not an exhaustive one.
+    assert 0.9 <= np.mean(hits) < 1
+
+
+def test_neighbours_of_an_id_with_two_vectors(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [0.0, 1.0]), (2, [1.0, 1.0]), (2, [1.0, 1.0])]
+    got = neighbours.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), lambda i: i == 0).collect()
+    assert [(r.rank, r.vec_id, r.score) for r in sorted(got, key=lambda r: r.rank)] == [(1, 1, 1.0), (2, 2, 1.0)]
+
+
 def test_base_scores_equal_brute_force(spark, untidy):
     for df in (spark.read.parquet(f"{SF}/documents.parquet"), untidy):
         rows = [(r.doc_id, (r.text or "").encode().lower().split() + [None]) for r in df.select("doc_id", "text").collect()]
@@ -215,6 +236,13 @@ def test_weak_secrets_need_a_partner(spark):
     assert [(r.text, r.n_chars) for r in secrets.redact(docs).collect()] == [("é [access]!", 11)]
 
 
+def test_long_candidates_are_whole(spark):
+    id, long = "AKIA" + "C" * 16, "q" * 70 + "7z" * 35
+    rows = [(1, f"{id} {long}"), (2, f"{long[::-1]} {id}"), (3, f"{id} {'q' * 90}"), (4, f"{id} {'a-' * 40}")]
+    got = {r.doc_id: [(secrets.KINDS[s.kind], s.end - s.start) for s in r.links] for r in secrets.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: [("candidate", 140)], 2: [("candidate", 140)], 3: [], 4: []}
+
+
 def secrets_of(row):
     return sorted(secrets.KINDS[s.kind] for s in row.links)
 
