@@ -13,7 +13,7 @@ holds more than two blocks, and many equal vectors or a full cell make more part
 
 Defined results: vectors that are null, zero, hold null or non-finite values, or have another
 length than the commonest take no part, nor do rows without an id; rows with equal id and vector
-are one; ties go to the smaller id; a query with fewer than k candidates gets all; an empty table
+are one, and of several vectors under one id the first in byte order takes part; ties go to the smaller id; a query with fewer than k candidates gets all; an empty table
 gives an empty result; extra columns are not read.
 """
 
@@ -34,8 +34,8 @@ from casework.llm.common import materialise
 SAMPLE = 20_000
 CENTROIDS = 32
 ROUNDS = 12
-#: Share of the index that a query visits, and entries it visits at least.
-SHARE, LEAST = 0.6, 1000
+#: Share of the index that a query visits; never fewer entries than it must return.
+SHARE = 0.6
 BLOCK, QUERIES = 4096, 512
 
 
@@ -99,7 +99,8 @@ def search(df: DataFrame, is_query, k: int = 20, id: str = "vec_id", vector: str
     if not sizes:
         return empty
     width = sizes[0].bytes // 8
-    rows = rows.where(F.length("vec") == 8 * width).distinct()
+    # One vector per id; from here on an id, and the smallest id of a vector, are keys.
+    rows = rows.where(F.length("vec") == 8 * width).groupBy("id").agg(F.min("vec").alias("vec"))
     sample = rows.orderBy(F.xxhash64("id"), "id", "vec").limit(SAMPLE).collect()
     points = np.frombuffer(b"".join(bytes(r.vec) for r in sample), dtype="<f8").reshape(-1, width)
     half = max(1, width // 2)
@@ -134,7 +135,7 @@ def search(df: DataFrame, is_query, k: int = 20, id: str = "vec_id", vector: str
     many = max(1, asked.select("entry").distinct().count() // QUERIES)
 
     def visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enough, held = max(share * total, LEAST), counts.tolist()
+        enough, held = max(share * total, k + 1), counts.tolist()
         for batch in batches:
             v = _matrix(batch.column(1), width)
             first, second = -(v[:, :half] @ books[0].T), -(v[:, half:] @ books[1].T)
