@@ -38,6 +38,8 @@ LEAST, LONGEST, COVER, TOP = 10, 3, 50, 2000
 BLOCK = 1_000_000
 #: Edge of a tile, and the share of its cells that must be met for a dense count.
 TILE, DENSE = 512, 8
+#: Parts of a language whose best phrases are found before those of the whole.
+PARTS = 64
 #: A bitmap of 2^25 bits (4 MB) keeps most infrequent pairs out of the shuffle that hands out ids.
 FILTER_BITS = 25
 #: Bits of a word id; the other bits of a pair hold the id of the phrase before it.
@@ -287,9 +289,12 @@ def mine(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = L
     """The ``top`` phrases of every language: ``lang, rank, phrase, a, l, r, n, score``."""
     words, counts, totals = phrases(docs, text, lang, least, longest)
     found = scored(counts, cover).withColumn("id", F.col("key")[0]).join(words.select("id", "lang"), "id").drop("id")
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))
+    # First within parts of a language, so that one language sends few rows to one task however many tasks there are.
     # Ties at the end stay until the words are there to break them.
-    found = materialise(found.withColumn("place", F.rank().over(best)).where(F.col("place") <= top).drop("place"), "phrase-best")
+    for by in (["lang", F.pmod(F.xxhash64("key"), F.lit(PARTS))], ["lang"]):
+        best = Window.partitionBy(*by).orderBy(F.desc("score"), F.desc("a"))
+        found = found.withColumn("place", F.rank().over(best)).where(F.col("place") <= top).drop("place")
+    found = materialise(found, "phrase-best")
     spelled = found.select("key", F.posexplode("key").alias("at", "id")).join(words.select("id", "word"), "id")
     spelled = spelled.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("at", "word"))).alias("parts"))
     spelled = spelled.select("key", F.array_join(F.transform("parts", lambda p: p["word"].cast("string")), " ").alias("phrase"))
