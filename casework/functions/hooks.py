@@ -15,23 +15,43 @@ from pyspark.sql import types as T
 from casework.functions.text import terms
 
 
-
-def register_tokeniser(fn: Callable[[str], Sequence[str]]) -> Callable[[Column], Column]:
-    """Text → tokens, for chunking and keyword search instead of whitespace tokens."""
+def _of_known(values: pd.Series, fn: Callable[[list], Sequence]) -> list:
+    """``fn`` of the non-null values as one list; null stays null."""
+    known = values.notna()
+    got = list(fn(values[known].tolist())) if known.any() else []
+    if len(got) != int(known.sum()):
+        raise ValueError(f"the hook gave {len(got)} results for {int(known.sum())} inputs")
+    out = [None] * len(values)
+    for i, v in zip(known.to_numpy().nonzero()[0], got):
+        out[i] = v
+    return out
+
+
+def register_tokeniser(fn: Callable, batched: bool = False) -> Callable[[Column], Column]:
+    """Text → tokens, for chunking and keyword search instead of whitespace tokens.
+
+    ``fn`` takes one text, or with ``batched`` the texts of an Arrow batch and gives a list of token lists.
+    """
+    many = fn if batched else lambda texts: [fn(t) for t in texts]
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
     def tokenise(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: list(fn(t)) if t is not None else None)
+        return pd.Series([None if t is None else list(t) for t in _of_known(texts, many)], index=texts.index, dtype=object)
 
     return tokenise
 
 
-def register_reranker(fn: Callable[[str, str], float]) -> Callable[[Column, Column], Column]:
-    """Question and text → score between 0 and 4."""
+def register_reranker(fn: Callable, batched: bool = False) -> Callable[[Column, Column], Column]:
+    """Question and text → score between 0 and 4; null where either is null.
+
+    ``fn`` takes a question and a text, or with ``batched`` a list of such pairs and gives a list of scores.
+    """
+    many = fn if batched else lambda pairs: [fn(q, t) for q, t in pairs]
 
     @F.pandas_udf("double")
     def score(questions: pd.Series, texts: pd.Series) -> pd.Series:
-        return pd.Series([min(4.0, max(0.0, float(fn(q, t)))) for q, t in zip(questions, texts)])
+        pairs = pd.Series([None if q is None or t is None else (q, t) for q, t in zip(questions, texts)], dtype=object)
+        return pd.Series([None if s is None else min(4.0, max(0.0, float(s))) for s in _of_known(pairs, many)], dtype="float64")
 
     return score
 

@@ -399,7 +399,7 @@ def _(t):
     """SELECT doc_id, len(string_split(text, ' '))::BIGINT AS tokens FROM documents""",
 )
 def _(t):
-    split = hooks.register_tokeniser(lambda s: s.split(" "))
+    split = hooks.register_tokeniser(lambda texts: [s.split(" ") for s in texts], batched=True)
     return t.documents.select("doc_id", F.size(split(F.col("text"))).alias("tokens"))
 
 

@@ -6,7 +6,7 @@ from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from casework.operators import blocks, boosting, clustering, compare, evaluation, features, logistic, metrics, models
+from casework.operators import blocks, boosting, clustering, compare, evaluation, features, logistic, metrics, models, networks
 from casework.plans.measures import NUMERIC, SQL_LABELLED, labelled
 from casework.plans.registry import query
 from casework.plans.relations import SQL_SCORED, scored
@@ -197,10 +197,35 @@ def _(t):
     return models.importances(models.fit_forest(train, numTrees=10, maxDepth=5), NUMERIC, t.spark)
 
 
+#: Layouts of one to three layers at every learning rate; the whole grid is ``networks.GRID``.
+NETS = [networks.Net((w,) * n, r) for r in networks.RATES for n in (1, 2, 3) for w in (7,)]
+
+
+def by_net_price(df):
+    """A curved target: whether the price after discount and tax passes 35,000."""
+    x = lambda i: F.get("x", F.lit(i))
+    return df.withColumn("label", (x(1) * (1 - x(2)) * (1 + x(3)) > 35_000).cast("double"))
+
+
 @query("m13_fit_mlp")
 def _(t):
-    train, test = train_test(t)
-    return scored_rates(models.fit_mlp(train, hidden=(5, 5), max_iter=30).transform(test), "mlp")
+    return networks.search(packed(by_net_price(folded(t))), NETS, folds=5, steps=60)[0]
+
+
+@query(
+    "m13_mlp_checks",
+    f"""WITH {SQL_TRAINING}, y AS (SELECT l_extendedprice * (1 - l_discount) * (1 + l_tax) > 35000 AS label FROM training)
+SELECT count(*) AS rows, {len(NETS)}::BIGINT AS nets, greatest(count(*) FILTER (label), count(*) FILTER (NOT label)) AS majority, true AS beaten, true AS losses_fall FROM y""",
+)
+def _(t):
+    """Rows and majority class of the training part, and whether the best network trained on it does better."""
+    data = packed(by_net_price(folded(t)))
+    fitted = networks.fit(data, NETS, steps=60)
+    hits = networks.counts(data, fitted)
+    rows, yes = int(hits[0].sum()), int(hits[0, 0] + hits[0, 2])
+    majority, best = max(yes, rows - yes), int((hits[:, 0] + hits[:, 3]).max())
+    row = (rows, len(NETS), majority, best > majority, bool((fitted.losses[-1] < fitted.losses[0]).all()))
+    return t.spark.createDataFrame([row], "rows long, nets long, majority long, beaten boolean, losses_fall boolean")
 
 
 @query("m14_fit_gbt")

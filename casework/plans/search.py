@@ -293,5 +293,5 @@ def _(t):
 
     allowed, near, found = runs(t)
     pairs = retrieval.rrf([near, found]).join(allowed.select("id", "content"), "id").join(questions(t), "q_id")
-    by_length = register_reranker(lambda question, text: len(text.split(" ")) / 100.0)
+    by_length = register_reranker(lambda pairs: [len(text.split(" ")) / 100.0 for _, text in pairs], batched=True)
     return retrieval.rerank(pairs, by_length).select("q_id", "id", "reranker_score", "rank")

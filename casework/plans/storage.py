@@ -73,9 +73,13 @@ def _(t):
     return sinks.upsert(base, new, ["doc_id"], F.col("load")).select("doc_id", "version")
 
 
-@query("s6_write_batches")
+@query(
+    "s6_write_batches",
+    f"""WITH {SQL_CHUNKS}, {SQL_CHUNK_IDS}, numbered AS (SELECT (row_number() OVER (ORDER BY id) - 1) // 100 AS batch FROM chunk_ids)
+SELECT batch, count(*) AS rows, count(*) AS succeeded, NULL::VARCHAR AS error FROM numbered GROUP BY batch""",
+)
 def _(t):
-    return sinks.write_batches(chunks(t).select("id", "doc_id"), len, size=100)
+    return sinks.write_batches(chunks(t).select("id", "doc_id"), len, ["id"], size=100)
 
 
 @query(

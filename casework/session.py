@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 #: Rows a side may have before it is no longer sent to every executor.
 BROADCAST_ROWS = 100_000
@@ -84,8 +83,3 @@ def has_shuffle(df: DataFrame) -> bool:
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     """True when ``df`` is proven to have at most ``rows`` rows."""
     return df.limit(rows + 1).count() <= rows
-
-
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint behind a row count; a larger side keeps its shuffle join."""
-    return F.broadcast(df) if is_small(df, rows) else df

@@ -8,7 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from casework.session import scratch_path
+from casework.functions.numbering import numbered
+from casework.session import materialise, scratch_path
 
 
 def append_jsonl(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -31,40 +32,39 @@ def upsert(current: DataFrame, new: DataFrame, key: Sequence[str], load_order: C
     return both.withColumn("__rn", F.row_number().over(newest)).where("__rn = 1").drop("__rn", "__new", "__order")
 
 
-def switch_table(df: DataFrame, base: str, version: str) -> str:
-    """Write ``df`` as a new version folder and return its path; the old version stays readable."""
-    path = f"{base.rstrip('/')}/version={version}"
-    df.write.mode("errorifexists").parquet(path)
-    return path
-
-
-def write_batches(df: DataFrame, sink: Callable[[pd.DataFrame], int], size: int = 100) -> DataFrame:
-    """Send rows to ``sink`` in batches of at most ``size``; one result row per batch.
+def write_batches(df: DataFrame, sink: Callable[[pd.DataFrame], int], order: Sequence[str], size: int = 100) -> DataFrame:
+    """Send rows to ``sink`` in batches of ``size``; written ``(batch, rows, succeeded, error)``, one row per batch.
 
-    ``sink`` runs in the tasks and returns the number of rows it accepted. A failed batch is
-    reported with its error and does not stop the others. A task may be retried, so a sink
-    must be idempotent on the row key.
+    Batch ``b`` holds the rows ``b * size`` to ``(b + 1) * size - 1`` in ``order`` (a total order), however
+    the input is partitioned; only the last batch may be smaller. ``sink`` runs in the tasks and returns the number
+    of rows it accepted. A failed batch is reported with its error and does not stop the others. The
+    result is committed with its task, so a batch counts once even when a task is retried; the
+    sink may then see it twice and must be idempotent on the row key.
     """
+    columns = df.columns
+    numbers = numbered(df, [F.col(c) for c in order], "__number").withColumn("__batch", F.floor(F.col("__number") / size))
+    # Rows of a batch meet in one task; a task takes whole stretches of the order.
+    dealt = numbers.repartitionByRange("__batch").sortWithinPartitions("__number")
 
     def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest: pd.DataFrame | None = None
         for frame in frames:
             rest = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
-            whole = len(rest) // size * size
-            for start in range(0, whole, size):
-                yield one(rest.iloc[start : start + size])
-            rest = rest.iloc[whole:]
+            last = rest["__batch"].iloc[-1] if len(rest) else None
+            for number, batch in rest[rest["__batch"] != last].groupby("__batch"):
+                yield one(number, batch)
+            rest = rest[rest["__batch"] == last]
         if rest is not None and len(rest):
-            yield one(rest)
+            yield one(rest["__batch"].iloc[0], rest)
 
-    def one(batch: pd.DataFrame) -> pd.DataFrame:
+    def one(number: int, batch: pd.DataFrame) -> pd.DataFrame:
         try:
-            accepted, error = int(sink(batch)), None
+            accepted, error = int(sink(batch[columns].reset_index(drop=True))), None
         except Exception as failure:  # reported per batch
             accepted, error = 0, str(failure)
-        return pd.DataFrame({"rows": [len(batch)], "succeeded": [accepted], "error": [error]})
+        return pd.DataFrame({"batch": [number], "rows": [len(batch)], "succeeded": [accepted], "error": [error]})
 
-    return df.mapInPandas(send, "rows long, succeeded long, error string")
+    return materialise(dealt.mapInPandas(send, "batch long, rows long, succeeded long, error string"), "batches")
 
 
 def write_report(summary: DataFrame, results: DataFrame, path: str) -> None:

@@ -62,9 +62,13 @@ def test_ids(spark):
 
 
 def test_250_rows_are_three_batches(spark):
-    df = spark.range(250).coalesce(1)
-    out = sinks.write_batches(df, len).collect()
-    assert sorted(r["rows"] for r in out) == [50, 100, 100] and sum(r.succeeded for r in out) == 250
+    got = []
+    for parts in (1, 16):
+        df = spark.range(250).repartition(parts)
+        out = sinks.write_batches(df, lambda b: int(b["id"].max() - b["id"].min() + 1), ["id"]).collect()
+        got.append(sorted((r.batch, r["rows"], r.succeeded) for r in out))
+    assert got == [[(0, 100, 100), (1, 100, 100), (2, 50, 50)]] * 2
+    assert sinks.write_batches(spark.range(0), len, ["id"]).collect() == []
 
 
 def test_failing_batch_is_reported(spark):
@@ -73,7 +77,7 @@ def test_failing_batch_is_reported(spark):
             raise ValueError("refused")
         return len(batch)
 
-    out = sinks.write_batches(spark.range(250).coalesce(1), sink).collect()
+    out = sinks.write_batches(spark.range(250).repartition(5), sink, ["id"]).collect()
     assert sum(r.succeeded for r in out) == 150 and [r.error for r in out if r.error] == ["refused"]
 
 

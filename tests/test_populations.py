@@ -6,7 +6,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from casework.operators import blocks, boosting, clustering, logistic, models
+from casework.operators import blocks, boosting, clustering, logistic, models, networks
 
 
 @pytest.fixture(scope="module")
@@ -158,3 +158,38 @@ def test_worst_pairs_in_slices(monkeypatch):
     for cells in (10, 100, 10**6):
         monkeypatch.setattr(clustering, "PAIR_CELLS", cells)
         assert clustering._worst_pairs(c, s) == pytest.approx(want)
+
+
+def test_network_gradients_equal_differences():
+    rng = np.random.default_rng(4)
+    x, y, f = rng.normal(size=(40, 3)), (rng.random(40) > 0.5).astype(float), np.arange(40) % 2
+    for hidden in ((2,), (3, 2), (2, 3, 2)):
+        group = networks._Group([(0, networks.Net(hidden, 0.1), -1), (1, networks.Net(tuple(w + 1 for w in hidden), 0.1), 1)], 3, 7)
+        n = sum(v.size for v in (*group.w, *group.b))
+        got, at = group.gradient(x, y, f)[:n], 0
+        for v in (*group.w, *group.b):
+            flat = v.reshape(-1)
+            for i in rng.integers(0, flat.size, 6):
+                ends = []
+                for move in (1e-5, -1e-5):
+                    flat[i] += move
+                    ends.append(group.gradient(x, y, f)[n : n + 2].sum())
+                    flat[i] -= move
+                assert got[at + i] == pytest.approx((ends[0] - ends[1]) / 2e-5, abs=1e-5)
+            at += v.size
+
+
+def test_networks_learn_what_a_line_cannot(spark):
+    rng = np.random.default_rng(0)
+    x = rng.uniform(-1, 1, (600, 2))
+    y = (x[:, 0] * x[:, 1] > 0).astype(float)
+    data = blocks.pack(spark.createDataFrame([(a.tolist(), float(b), i % 3) for i, (a, b) in enumerate(zip(x, y))], "x array<double>, label double, fold int").repartition(4), "x", F.col("label"), F.col("fold"))
+    nets = [networks.Net((5,), 0.4), networks.Net((9,), 0.4), networks.Net((9, 5), 0.01)]
+    table, fitted, best = networks.search(data, nets, folds=3, steps=150)
+    rows = table.collect()
+    assert rows[best].mean > 0.85 and best != 2 and (fitted.losses[-1] < fitted.losses[0]).all()
+    hits = networks.counts(data, fitted)
+    assert hits.sum(1).tolist() == [600.0 if f < 0 else 200.0 for f in fitted.folds]
+    own = (fitted.probabilities(x) > 0.5) == (y[:, None] > 0.5)
+    assert hits[:, [0, 3]].sum(1).tolist() == [int(own[:, i].sum() if f < 0 else own[np.arange(600) % 3 == f, i].sum()) for i, f in enumerate(fitted.folds)]
+    assert len(networks.GRID) == 4 * (5 + 25 + 125)

@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from casework.functions.hooks import register_reranker
+from casework.functions.hooks import register_reranker, register_tokeniser
 from casework.operators import context, evaluation, filters, retrieval, routing, vector_index
 from casework.sources.files import read_eval_set, table
 from tests.conftest import SF
@@ -204,3 +204,20 @@ def test_answer_confidence(spark):
     hits = spark.createDataFrame([(1, s) for s in (2.1, 2.5, 3.0)] + [(2, 2.0)] + [(3, 3.0)] * 3, "q_id long, reranker_score double")
     got = {r.q_id: r.confidence for r in routing.answer_confidence(answers, hits).collect()}
     assert got == {1: "high", 2: "medium", 3: "low", 4: "low"}
+
+
+def test_hooks_take_batches_and_keep_nulls(spark):
+    df = spark.createDataFrame([(1, "a b"), (2, None), (3, ""), (4, "c")], "id int, t string").coalesce(1)
+    calls = spark.sparkContext.accumulator(0)
+
+    def split(texts):
+        calls.add(1)
+        return [t.split() for t in texts]
+
+    one = {r.id: r.w for r in df.select("id", register_tokeniser(str.split)("t").alias("w")).collect()}
+    many = {r.id: r.w for r in df.select("id", register_tokeniser(split, batched=True)("t").alias("w")).collect()}
+    assert one == many == {1: ["a", "b"], 2: None, 3: [], 4: ["c"]} and calls.value == 1
+    score = register_reranker(lambda pairs: [len(t) for _, t in pairs], batched=True)
+    assert [r.s for r in df.select("id", score(F.lit("q"), F.col("t")).alias("s")).orderBy("id").collect()] == [3.0, None, 0.0, 1.0]
+    with pytest.raises(Exception, match="results for"):
+        df.select(register_tokeniser(lambda texts: [], batched=True)("t")).collect()
