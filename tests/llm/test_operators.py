@@ -290,3 +290,16 @@ def test_pipeline_stages(spark, untidy):
     kept = {r.doc_id for r in docs.select("doc_id").distinct().collect()}
     assert kept == {1, 6, None}
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() > 0
+
+
+def test_pipeline_stages_keep_columns_with_clashing_names(spark, untidy):
+    own = {"n_words": "a", "failed": "b", "bucket": "c", "salt": "d", "r_id": "e", "__digest": "f", "component_id": "g", "h": "h", "place": "i", "id": "j"}
+    docs = untidy.withColumns({k: F.concat(F.lit(v), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))) for k, v in own.items()})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.dtypes == docs.dtypes, name
+        rows = out.collect()
+        assert rows
+        for r in rows:
+            key = "-" if r.doc_id is None else str(r.doc_id)
+            assert all(r[k] == v + key for k, v in own.items()), name
