@@ -6,7 +6,7 @@ from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from casework.operators import blocks, boosting, clustering, compare, evaluation, features, logistic, metrics, models, networks
+from casework.operators import blocks, boosting, clustering, compare, evaluation, features, logistic, metrics, models, networks, trees
 from casework.plans.measures import NUMERIC, SQL_LABELLED, labelled
 from casework.plans.registry import query
 from casework.plans.relations import SQL_SCORED, scored
@@ -184,17 +184,44 @@ def _(t):
     return check.select("rows", F.lit(len(summary)).cast("long").alias("terms"), (F.col("residual") < 1e-5).alias("solved"))
 
 
+def binned(df):
+    """Thresholds, and blocks of bin numbers."""
+    cuts = boosting.cut_points(df, "x")
+    return cuts, boosting.binned(packed(df), cuts)
+
+
+#: Part of ``trees.GRID``.
+TREES = [s for s in trees.GRID if s.min_split == 5 and s.min_leaf in (2, 5, 9) and s.min_decrease in (0.001, 0.004)]
+
+
 @query("m11_fit_tree")
 def _(t):
-    train, test = train_test(t)
-    best = models.grid_search(train, DecisionTreeClassifier(seed=42), {"impurity": ["gini", "entropy"], "maxDepth": [3, 6]}, folds=3).bestModel
-    return scored_rates(best.transform(test), "tree")
+    cuts, data = binned(by_net_price(folded(t)))
+    _, grown, best = trees.search(data, cuts, TREES, folds=5)
+    test = by_net_price(train_test(t)[1].select(vector_to_array("features").alias("x")))
+    return scored_rates(test.select("label", (trees.probability(F.col("x"), [grown[best]]) > 0.5).cast("double").alias("prediction")), "tree")
+
+
+@query(
+    "m11_tree_totals",
+    f"""WITH {SQL_TRAINING}, y AS (SELECT l_extendedprice * (1 - l_discount) * (1 + l_tax) > 35000 AS label FROM training)
+SELECT setting, (SELECT count(*) FROM y) AS rows, (SELECT count(*) FROM y WHERE label) AS positives FROM (VALUES {sql_values([s.name for s in TREES])}) v(setting)""",
+)
+def _(t):
+    """The probabilities that a tree gives its own training rows add up to their positives."""
+    df = by_net_price(folded(t))
+    cuts, data = binned(df)
+    grown = trees.grow(data, cuts, [trees.Tree(s) for s in TREES])
+    sums = df.agg(F.count("*").alias("rows"), *[F.sum(trees.probability(F.col("x"), [g])).alias(f"p{i}") for i, g in enumerate(grown)])
+    pairs = F.array(*[F.struct(F.lit(s.name).alias("setting"), F.col("rows"), F.round(f"p{i}", 6).cast("long").alias("positives")) for i, s in enumerate(TREES)])
+    return sums.select(F.explode(pairs).alias("r")).select("r.*")
 
 
 @query("m12_fit_forest")
 def _(t):
-    train, _ = train_test(t)
-    return models.importances(models.fit_forest(train, numTrees=10, maxDepth=5), NUMERIC, t.spark)
+    cuts, data = binned(by_net_price(folded(t)))
+    shares = trees.importances(trees.grow(data, cuts, trees.forest(50, trees.Setting("gini", 7), len(cuts))), len(cuts))
+    return t.spark.createDataFrame([(n, float(v)) for n, v in zip(NUMERIC, shares)], "feature string, importance double")
 
 
 #: Layouts of one to three layers at every learning rate; the whole grid is ``networks.GRID``.
@@ -302,17 +329,28 @@ def _(t):
     return t.spark.createDataFrame(rows, "setting string, fold long, rows long, solved boolean")
 
 
+def fold_table(t, name, hits):
+    """Rates of the models of all folds from their counts: ``(model, metric, mean, std)``."""
+    return t.spark.createDataFrame([(name, m, float(v.mean()), float(v.std())) for m, v in logistic.rates(hits).items()], "model string, metric string, mean double, std double")
+
+
 @query("m19_cross_val")
 def _(t):
-    train, data = train_test(t)[0], folded(t)
-    fitted = logistic.fit(packed(data), [logistic.Setting("l2")], folds=5)
-    by_fold = lambda fn: F.coalesce(*[F.when(F.col("fold") == f, fn(f)) for f in range(5)])
-    linear = data.withColumn("prediction", (by_fold(lambda f: logistic.margin(F.col("x"), fitted.model(0, f))) > 0).cast("int"))
-    stumps = boosting.fit(data, 100, 0.1, features="x", fold=F.col("fold"), folds=5)
-    boosted = data.withColumn("prediction", (by_fold(lambda f: boosting.score(F.col("x"), stumps[f + 1])) > 0).cast("int"))
-    own = [models.fold_rates(df).withColumn("model", F.lit(n)) for n, df in (("logistic", linear), ("adaboost", boosted))]
-    tree = models.cross_val(train, {"tree": DecisionTreeClassifier(maxDepth=10, seed=42)}, "key", folds=5, seed=FOLD_SEED)
-    return compare.union_runs(tree, *own).select("model", "metric", "mean", "std")
+    df = by_net_price(folded(t))
+    data = packed(df)
+    linear = logistic.fit(data, [logistic.Setting("l2")], folds=5)
+    nets = networks.fit(data, [networks.Net((9,), 0.4)], folds=5, steps=60)
+    cuts, binned_data = binned(df)
+    grown = trees.grow(binned_data, cuts, [trees.Tree(TREES[0], f) for f in range(5)])
+    stumps = boosting.fit(df, 100, 0.1, features="x", fold=F.col("fold"), folds=5)
+    score = F.coalesce(*[F.when(F.col("fold") == f, boosting.score(F.col("x"), stumps[f + 1])) for f in range(5)])
+    boosted = models.fold_rates(df.withColumn("prediction", (score > 0).cast("int"))).withColumn("model", F.lit("adaboost"))
+    return compare.union_runs(
+        fold_table(t, "logistic", logistic.held_out_counts(data, linear)[linear.folds >= 0]),
+        fold_table(t, "network", networks.counts(data, nets)[nets.folds >= 0]),
+        fold_table(t, "tree", trees.counts(binned_data, grown)),
+        boosted.select("model", "metric", "mean", "std"),
+    )
 
 
 def ruled(t, threshold):

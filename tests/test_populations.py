@@ -6,7 +6,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from casework.operators import blocks, boosting, clustering, logistic, models, networks
+from casework.operators import blocks, boosting, clustering, logistic, models, networks, trees
 
 
 @pytest.fixture(scope="module")
@@ -193,3 +193,79 @@ def test_networks_learn_what_a_line_cannot(spark):
     own = (fitted.probabilities(x) > 0.5) == (y[:, None] > 0.5)
     assert hits[:, [0, 3]].sum(1).tolist() == [int(own[:, i].sum() if f < 0 else own[np.arange(600) % 3 == f, i].sum()) for i, f in enumerate(fitted.folds)]
     assert len(networks.GRID) == 4 * (5 + 25 + 125)
+
+
+def plain_tree(x, y, s, whole=None, depth=0):
+    """Nested (feature, threshold, left, right), or the probability of class 1."""
+    whole = len(y) if whole is None else whole
+
+    def impurity(v):
+        p = v.mean()
+        if s.criterion == "gini":
+            return 1 - p * p - (1 - p) ** 2
+        return -sum(q * np.log2(q) for q in (p, 1 - p) if q > 0)
+
+    best = None
+    if depth < s.max_depth and len(y) >= max(s.min_split, 2 * s.min_leaf) and 0 < y.mean() < 1:
+        for j in range(x.shape[1]):
+            for t in np.unique(x[:, j])[:-1]:
+                side = x[:, j] <= t
+                if min(side.sum(), (~side).sum()) < s.min_leaf:
+                    continue
+                gain = (len(y) * impurity(y) - side.sum() * impurity(y[side]) - (~side).sum() * impurity(y[~side])) / whole
+                if gain >= max(s.min_decrease, 1e-12) and (best is None or gain > best[0] + 1e-12):
+                    best = (gain, j, t, side)
+    if best is None:
+        return float(y.mean())
+    _, j, t, side = best
+    return (j, float(t), plain_tree(x[side], y[side], s, whole, depth + 1), plain_tree(x[~side], y[~side], s, whole, depth + 1))
+
+
+def nested(tree, node=0):
+    if tree.feature[node] < 0:
+        return tree.value[node]
+    a, b = tree.child[node]
+    return (tree.feature[node], tree.threshold[node], nested(tree, a), nested(tree, b))
+
+
+@pytest.fixture(scope="module")
+def coarse(spark):
+    rng = np.random.default_rng(11)
+    x = rng.integers(0, 9, (500, 3)).astype(float)
+    y = ((x[:, 0] > 4) ^ (x[:, 1] > 2) ^ (rng.random(500) < 0.1)).astype(float)
+    fold = np.arange(500) % 4
+    df = spark.createDataFrame([(a.tolist(), float(b), int(f)) for a, b, f in zip(x, y, fold)], "x array<double>, label double, fold int").repartition(3).cache()
+    cuts = boosting.cut_points(df, "x")
+    return x, y, fold, df, cuts, boosting.binned(blocks.pack(df, "x", F.col("label"), F.col("fold")), cuts)
+
+
+def same_tree(a, b):
+    if isinstance(a, tuple) != isinstance(b, tuple):
+        return False
+    return a == pytest.approx(b) if not isinstance(a, tuple) else a[:2] == b[:2] and same_tree(a[2], b[2]) and same_tree(a[3], b[3])
+
+
+@pytest.mark.parametrize("cells", [2_000_000, 1000])
+def test_trees_equal_plain_recursion(coarse, monkeypatch, cells):
+    x, y, fold, _, cuts, data = coarse
+    monkeypatch.setattr(trees, "CELLS", cells)
+    settings = [trees.Setting("gini", 6), trees.Setting("entropy", 3, min_leaf=7), trees.Setting("gini", 20, 9, 4, 0.002), trees.Setting("entropy", 0)]
+    settings = settings if cells > 1000 else settings[1:]
+    for tree in trees.grow(data, cuts, [trees.Tree(s, f) for s in settings for f in (-9, 2)]):
+        part = fold != tree.fold
+        assert same_tree(nested(tree), plain_tree(x[part], y[part], tree.setting))
+
+
+def test_tree_search_and_forest(spark, coarse):
+    x, y, fold, df, cuts, data = coarse
+    settings = [trees.Setting("gini", 1), trees.Setting("gini", 6, min_leaf=5)]
+    table, full, best = trees.search(data, cuts, settings, folds=4)
+    rows = table.collect()
+    assert best == 1 and rows[1].best and rows[1].mean > 0.8 > rows[0].mean and len(trees.GRID) == 640
+    score = df.select((trees.probability(F.col("x"), [full[1]]) > 0.5).alias("p"), "label").where("p = (label = 1)").count()
+    assert score == int(((np.array(full[1].value)[full[1].nodes(x, bins=False)] > 0.5) == y).sum())
+    grown = trees.grow(data, cuts, trees.forest(12, trees.Setting("gini", 6), 3))
+    again = trees.grow(data, cuts, trees.forest(12, trees.Setting("gini", 6), 3))
+    assert [nested(t) for t in grown] == [nested(t) for t in again] and nested(grown[0]) != nested(grown[1])
+    shares = trees.importances(grown, 3)
+    assert shares.sum() == pytest.approx(1) and shares[2] < min(shares[:2])
