@@ -63,7 +63,7 @@ def _nodes(df: DataFrame, nodes: Column) -> DataFrame:
 
 
 def interval_conflicts(
-    df: DataFrame, key: str, id: str, start: str = "start", end: str = "end", grain_seconds: int = 60
+    df: DataFrame, key: str, id: str, start: str = "start", end: str = "end", grain_seconds: int = 3600
 ) -> DataFrame:
     """Pairs of overlapping intervals of the same key, each pair once: ``(key, a, b, from, to)``.
 
@@ -121,7 +121,7 @@ def in_conflict(df: DataFrame, key: str, id: str, start: str = "start", end: str
 
 
 def overlapping(
-    df: DataFrame, other: DataFrame, key: str, id: str, start: str = "start", end: str = "end", grain_seconds: int = 60
+    df: DataFrame, other: DataFrame, key: str, id: str, start: str = "start", end: str = "end", grain_seconds: int = 3600
 ) -> DataFrame:
     """Rows of ``df`` (unique ``id``) overlapping an interval of ``other`` with the same key.
 
