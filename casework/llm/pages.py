@@ -12,14 +12,15 @@ known; the number is the documented bound of the fit. The rows of the table are
 
 Defined results: null, empty and unparsable pages give an empty text; a page cut off anywhere is
 read as far as it goes; repeated rows each get their row; an empty table gives an empty result;
-extra columns are not read.
+extra columns are not read. Reading takes time in proportion to the page, however deep or badly
+closed it is.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from functools import cache
 
 import numpy as np
@@ -33,11 +34,12 @@ TRAIN_PAGES = 800
 TREES, DEPTH, RATE, BINS = 60, 4, 0.3, 16
 
 #: Elements without text of their own to show, or without an end. Fixed values of the HTML standard.
-RAW = frozenset("script style textarea title noscript iframe template svg math select option object canvas audio video".split())
+RAW = frozenset("script style textarea title noscript iframe template svg select option".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr object canvas audio video math mi mn mo ms mtext mrow mfrac msqrt mroot mstyle msub msup msubsup munder mover munderover semantics annotation".split())
 CLOSES_P = frozenset("address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 CLOSES_OWN = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
+LISTS = ("ul", "ol", "dl", "table")
 
 TAGS = "html body main article section div nav header footer aside form p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table tr td th blockquote pre figure figcaption address button fieldset dialog details".split()
 ABOVE = "main article nav header footer aside form li table dialog".split()
@@ -79,11 +81,19 @@ class Page:
 
     def _read(self, html: str) -> None:
         stack = [0]  # block elements only; inline elements are part of their block
+        places: dict[str, list[int]] = {}  # open elements of each tag, by their place in the stack
         buffer: list[str] = []
         linked, in_link = 0, 0
         at, end = 0, len(html)
         match = _TOKEN.match
 
+        def last(tags: Iterable[str]) -> int:
+            return max((places[t][-1] for t in tags if places.get(t)), default=0)
+
+        def close(place: int) -> None:
+            while len(stack) > place:
+                places[self.tag[stack.pop()]].pop()
+
         def flush() -> None:
             nonlocal linked
             if buffer:
@@ -103,7 +113,7 @@ class Page:
             name = m[2]
             if name is None:
                 piece = m[0]
-                if piece[0] == "<" and (len(piece) > 1 or at == end):
+                if piece[0] == "<" and len(piece) > 1:
                     continue
                 piece = entities.unescape(piece)
                 buffer.append(piece)
@@ -125,23 +135,18 @@ class Page:
             flush()
             in_link = 0
             if closing:
-                for k in range(len(stack) - 1, 0, -1):
-                    if self.tag[stack[k]] == tag:
-                        del stack[k:]
-                        break
+                if places.get(tag):
+                    close(places[tag][-1])
                 continue
             if tag == "head" or tag == "html":
                 continue
             closes = CLOSES_OWN.get(tag)
             if closes:
-                for k in range(len(stack) - 1, 0, -1):
-                    if self.tag[stack[k]] in closes:
-                        del stack[k:]
-                        break
-                    if self.tag[stack[k]] in ("ul", "ol", "dl", "table"):
-                        break
+                place = last(closes)
+                if place > last(LISTS):
+                    close(place)
             elif tag in CLOSES_P and self.tag[stack[-1]] == "p":
-                stack.pop()
+                close(len(stack) - 1)
             if tag in VOID:
                 continue
             attributes = m[3]
@@ -157,6 +162,7 @@ class Page:
             self.names.append(tuple(names))
             self.hidden.append(hidden)
             if not m[3].endswith("/"):
+                places.setdefault(tag, []).append(len(stack))
                 stack.append(len(self.tag) - 1)
         flush()
 
