@@ -6,11 +6,13 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from casework.llm import chat, licenses, mixing, near, neighbours, packing, pages, quality, queries, scoring, secrets, wordbpe
+from casework.llm import chat, common, licenses, mixing, near, neighbours, packing, pages, quality, queries, scoring, secrets, wordbpe
 
 SF = "/root/testdata/sf0.001"
 TABLES = "documents embeddings pages benchmark labels conversations".split()
@@ -188,6 +190,48 @@ def test_base_scores_equal_brute_force(spark, untidy):
         assert all(math.isfinite(r.score) and r.score < 0 for r in got)
 
 
+def test_scores_equal_plain_attention():
+    """The batched windows against one position at a time, also with parameters whose exponentials would overflow."""
+    rng = np.random.default_rng(2)
+    model = scoring.Model(rng.integers(1, 50, scoring.IDS).astype(float))
+    texts = [rng.integers(0, scoring.IDS, n) for n in (1, 5, 24, 60)]
+    for scale in (1, 400):
+        p = {k: (v * scale if k in "UE" else v).astype(np.float64) for k, v in model.p.items()}
+        model.p = {k: v.astype(np.float32) for k, v in p.items()}
+        want = []
+        for ids in texts:
+            total = 0.0
+            for i, goal in enumerate(ids):
+                first = i // scoring.STRIDE * scoring.STRIDE - (scoring.WINDOW - scoring.STRIDE)
+                seen = range(max(first, 0), i + 1)
+                x = np.array([p["E"][model.input_of[scoring.START if j == 0 else ids[j - 1]]] + p["P"][j - first] for j in seen])
+                s = (x @ p["K"]) @ (x[-1] @ p["Q"]) / math.sqrt(scoring.WIDTH)
+                a = np.exp(s - s.max())
+                logits = (x[-1] + a / a.sum() @ (x @ p["V"])) @ p["U"] + p["b"]
+                logits -= logits.max()
+                total += logits[model.class_of[goal]] - math.log(np.exp(logits).sum()) + float(model.within[goal])
+            want.append(total / math.log(10))
+        assert scoring.score_texts(texts, model) == pytest.approx(want, rel=1e-3)
+
+
+def test_words_of_slices():
+    texts = [" A\tb  c\x0bA", None, "", "ß É x\x1cy", "long " * 50, "\n", "x"] * 3
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
+    known = scoring._Words(wordbpe.default_path())
+    for part in (batch, batch.slice(1, 5), batch.slice(7, 9), batch.slice(20, 1)):
+        hashes, sizes, ids = known.of(part)
+        found = [common.words((t or "").encode()) for t in part.column(0).to_pylist()]
+        assert sizes.tolist() == [len(f) + 1 for f in found]
+        assert hashes.view(np.uint64).tolist() == [h for f in found for h in [*map(xxhash.xxh3_64_intdigest, f), 1]]
+        assert [i.tolist() for i in ids] == [[j for w in f for j in known.encoder.encode(w.decode())] + [scoring.END] for f in found]
+
+
+def test_model_does_not_depend_on_partitions(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    one, many = ({r.doc_id: r.score for r in scoring.score(docs.repartition(n)).collect()} for n in (1, 7))
+    assert one.keys() == many.keys() and all(one[k] == pytest.approx(many[k], rel=1e-4) for k in one)
+
+
 def test_each_token_is_scored_once():
     model = scoring.Model(np.ones(scoring.IDS))
     texts = [np.arange(n) % 50 for n in (1, 23, 24, 25, 200)]
@@ -200,6 +244,17 @@ def test_each_token_is_scored_once():
     assert total == pytest.approx(scoring.CLASSES, rel=1e-3)
 
 
+def test_pages_keep_formulas_and_stay_linear():
+    page = "<main><article><p>%s where <math><mi>x</mi><mo>=</mo><mn>4</mn></math> holds <</p></article></main>" % ("Some words of a long sentence, and more. " * 20)
+    read = pages.Page(page)
+    assert [t[-19:] for t in read.block_text] == [". where x=4 holds <"]
+    deep = pages.Page("<li><ul>" + "<div>" * 20_000 + "</span2>" * 20_000 + "<li></li>" * 20_000 + "end")
+    assert len(deep.tag) == 40_003 and deep.block_text == ["end"]
+    # Whatever is open below a closed element is closed with it; an item does not close one of a list outside.
+    got = pages.Page("<ul><li>a<li>b<ul><li>c</ul>d</ul><div><p>e<section>f</div>g")
+    assert [(t, got.tag[o]) for o, t in zip(got.block_owner, got.block_text)] == [("a", "li"), ("b", "li"), ("c", "li"), ("d", "li"), ("e", "p"), ("f", "section"), ("g", "html")]
+
+
 def test_pages_held_out_accuracy_and_untidy(spark):
     rng = np.random.default_rng(77)
     made = [pages.generated_page(rng) for _ in range(120)]
