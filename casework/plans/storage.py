@@ -17,15 +17,21 @@ from casework.sources import files, sinks
 
 @query(
     "s1_scan_files",
-    """SELECT source AS folder, sum(strlen(text) + 1)::BIGINT AS bytes, count(*) > 0 AS found FROM documents GROUP BY source""",
+    """WITH lines AS (SELECT source, unnest(string_split(text, chr(10))) AS line FROM documents)
+SELECT source AS folder, sum(strlen(line) + 1)::BIGINT AS bytes, count(*) AS n_lines, sum(('0x' || substr(md5(line), 1, 8))::BIGINT)::BIGINT AS line_digests FROM lines GROUP BY source""",
 )
 def _(t):
-    """Documents written as text files below one folder per source, then scanned back."""
+    """Documents written as text files below one folder per source, English ones in a folder that Spark hides, then scanned back."""
     path = scratch_path(t.spark, "files")
-    t.documents.select("source", "text").write.partitionBy("source").text(path)
+    for below, some in (("", ~F.col("lang").eqNullSafe("en")), ("/_sub", F.col("lang").eqNullSafe("en"))):
+        t.documents.where(some).select("source", "text").write.mode("append").partitionBy("source").text(path + below)
     scanned = files.scan_files(t.spark, path, [".TXT"])
-    folder = F.regexp_extract("path", "^source=([^/]+)/", 1)
-    return scanned.groupBy(folder.alias("folder")).agg(F.sum("size").alias("bytes"), (F.count(F.lit(1)) > 0).alias("found"))
+    folder = F.regexp_extract("path", "(?:^|/)source=([^/]+)/", 1)
+    lines = scanned.select(folder.alias("folder"), F.explode(F.split(F.regexp_replace("text", "\\n\\z", ""), "\n")).alias("line"))
+    digest = F.conv(F.substring(F.md5("line"), 1, 8), 16, 10).cast("long")
+    return lines.groupBy("folder").agg(
+        F.sum(F.octet_length("line") + 1).alias("bytes"), F.count(F.lit(1)).alias("n_lines"), F.sum(digest).alias("line_digests")
+    )
 
 
 @query("s2_read_csv", "SELECT p_partkey, p_name AS part_name, p_retailprice AS retail_price_aud, p_size::BIGINT AS p_size FROM part")

@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casework.schemas import EVAL_CASE
+from casework.session import materialise
+from casework.sources.listing import list_files, opened
 
+#: Bytes of files that one task reads, about.
+TASK_BYTES = 64 << 20
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
@@ -34,8 +39,33 @@ def spread(df: DataFrame) -> DataFrame:
 def scan_files(spark: SparkSession, path: str, suffixes: Sequence[str] = (".txt",)) -> DataFrame:
     """Recursive scan to ``(path, name, text, size, modified)``.
 
-    Suffixes match in any case; hidden files and other types drop out before any byte is
-    read; the path is relative to ``path``; undecodable bytes are dropped.
+    Suffixes match in any case; dot files, files in dot folders and other types drop out before any
+    byte is read; names may start with ``_``. The path is relative to ``path``, undecodable bytes are
+    dropped. The listing is written once; its files are then dealt to tasks of about ``TASK_BYTES``,
+    so a folder with most of the files is read by many tasks. A file must fit in a task.
+    """
+    wanted = "|".join(re.escape(s.lower()) for s in suffixes)
+    listed = materialise(list_files(spark, path).where(F.lower("name").rlike(f"({wanted})$")), "file-listing")
+    size = listed.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("size")).first().size
+    tasks = max(spark.sparkContext.defaultParallelism, -(-size // TASK_BYTES))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = opened(path.rstrip("/"))
+        for batch in batches:
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1)
+                with store.open_input_stream(f"{root}/{row.column('path')[0].as_py()}") as f:
+                    text = f.read().decode("utf-8", "ignore")
+                yield row.add_column(2, "text", pa.array([text], pa.string()))
+
+    dealt = listed.repartition(tasks, "path")
+    return dealt.mapInArrow(read, "path string, name string, text string, size long, modified timestamp")
+
+
+def scan_store(spark: SparkSession, path: str, suffixes: Sequence[str] = (".txt",)) -> DataFrame:
+    """:func:`scan_files` for stores that only Spark's readers open; these hide names that start with ``_``.
+
+    Empty files, undecodable bytes and the replacement character drop out.
     """
     wanted = "|".join(re.escape(s.lower()) for s in suffixes)
     root = re.escape(path.rstrip("/"))

@@ -121,9 +121,21 @@ def test_scan_files(spark, tmp_path):
     (tmp_path / "a_b-c.TXT").write_bytes(b"caf\xe9 ok")
     (tmp_path / "sub" / "d.txt").write_text("deep")
     (tmp_path / "x.pdf").write_text("no")
-    got = {r.path: r for r in files.scan_files(spark, str(tmp_path)).collect()}
-    assert set(got) == {"a_b-c.TXT", "sub/d.txt"}
-    assert got["a_b-c.TXT"].text == "caf ok"
+    (tmp_path / "_b.txt").write_text("kept \ufffd")
+    (tmp_path / "empty.txt").write_text("")
+    (tmp_path / ".c.txt").write_text("no")
+    for folder in ("_sub/deep", ".git", "sub/.hidden"):
+        (tmp_path / folder).mkdir(parents=True)
+        (tmp_path / folder / "c.txt").write_text("c")
+    for path in (str(tmp_path), f"file:{tmp_path}/"):
+        got = {r.path: r for r in files.scan_files(spark, path).collect()}
+        assert set(got) == {"a_b-c.TXT", "_b.txt", "empty.txt", "sub/d.txt", "_sub/deep/c.txt"}
+        assert [got[k].text for k in ("a_b-c.TXT", "_b.txt", "empty.txt")] == ["caf ok", "kept \ufffd", ""]
+        assert got["sub/d.txt"].name == "d.txt" and got["sub/d.txt"].size == 4
+        assert got["sub/d.txt"].modified.timestamp() == pytest.approx((tmp_path / "sub/d.txt").stat().st_mtime, abs=1)
+    assert files.scan_files(spark, str(tmp_path / ".git"), [".md"]).count() == 0
+    stored = {r.path: r.text for r in files.scan_store(spark, str(tmp_path)).collect()}
+    assert stored == {"a_b-c.TXT": "caf ok", "sub/d.txt": "deep"}
     assert spark.range(1).select(scalars.title_from_path(F.lit("a_b-c.TXT")).alias("t")).first().t == "a b c"
 
 
