@@ -12,7 +12,7 @@ from casework.plans.bindings import SQL_CHUNK_IDS, SQL_CHUNKS, chunks
 from casework.plans.measures import SQL_EVAL, results
 from casework.plans.registry import query
 from casework.session import scratch_path
-from casework.sources import files, sinks
+from casework.sources import files, sinks, star
 
 
 @query(
@@ -106,8 +106,29 @@ def _(t):
 LEFT JOIN nation ON n_nationkey = c_nationkey GROUP BY ALL""",
 )
 def _(t):
-    star = files.load_star(t.orders, [(t.customer, "o_custkey", "c_custkey"), (t.nation, "c_nationkey", "n_nationkey")])
-    return star.groupBy("n_name", "c_mktsegment").agg(F.count(F.lit(1)).alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("revenue"))
+    joined = files.load_star(t.orders, [(t.customer, "o_custkey", "c_custkey"), (t.nation, "c_nationkey", "n_nationkey")])
+    return joined.groupBy("n_name", "c_mktsegment").agg(F.count(F.lit(1)).alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("revenue"))
+
+
+STAR = star.Star(
+    star.Table("orders", "o_orderkey long, o_custkey long, o_totalprice double"),
+    (
+        star.Dimension("customer", "c_custkey long, c_nationkey long, c_mktsegment string", "c_custkey", "o_custkey"),
+        star.Dimension("nation", "n_nationkey long, n_regionkey long, n_name string", "n_nationkey", "c_nationkey"),
+        star.Dimension("region", "r_regionkey long, r_name string", "r_regionkey", "n_regionkey"),
+    ),
+)
+
+
+@query(
+    "s8_read_star",
+    """SELECT r_name, n_name, count(*) AS orders, round(sum(o_totalprice), 2) AS revenue FROM orders LEFT JOIN customer ON c_custkey = o_custkey
+LEFT JOIN nation ON n_nationkey = c_nationkey LEFT JOIN region ON r_regionkey = n_regionkey GROUP BY ALL""",
+)
+def _(t):
+    """Declared tables of the folder, joined by their declared keys through three levels."""
+    wide = star.read_star(STAR, star.from_folder(t.spark, t.folder))
+    return wide.groupBy("r_name", "n_name").agg(F.count(F.lit(1)).alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("revenue"))
 
 
 @query(
