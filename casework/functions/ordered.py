@@ -25,8 +25,8 @@ from casework.session import estimated_bytes, has_shuffle, materialise
 
 SEGMENTS = 512
 SAMPLES_PER_SEGMENT = 32
-#: Inputs estimated below this size are left to one plain window.
-SPLIT_BYTES = 1 << 30
+#: Inputs estimated below this size are left to a plain window: one task for each key, or a single one where there is no key.
+SPLIT_BYTES, SPLIT_BYTES_WITHOUT_KEY = 1 << 30, 64 << 20
 
 _SEG, _HOT, _RN = "__segment", "__cuts", "__rn"
 
@@ -85,7 +85,7 @@ def running(
     """
     order = [F.col(c) if isinstance(c, str) else c for c in order]
     outputs = {n: (k, F.col(c) if isinstance(c, str) else c) for n, (k, c) in outputs.items()}
-    limit = SPLIT_BYTES if split_bytes is None else split_bytes
+    limit = (SPLIT_BYTES if keys else SPLIT_BYTES_WITHOUT_KEY) if split_bytes is None else split_bytes
     cuts: list = []
     if estimated_bytes(df) > limit:
         # Cut points, edges and rows are three readings; a shuffled input is written once instead.

@@ -22,6 +22,7 @@ def test_same_rows_with_cuts(spark, monkeypatch, name):
         return out
 
     monkeypatch.setattr(ordered, "SPLIT_BYTES", 0)
+    monkeypatch.setattr(ordered, "SPLIT_BYTES_WITHOUT_KEY", 0)
     monkeypatch.setattr(ordered, "cut_points", few_segments)
     _, problems = compare(plans.queries()[name](spark, SF), connect(SF), plans.oracle_sql()[name])
     assert not problems and cuts
