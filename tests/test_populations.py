@@ -1,5 +1,8 @@
 """Populations of models trained in shared scans, against single models and plain loops."""
 
+import sys
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.ml.classification import LogisticRegression
@@ -269,3 +272,16 @@ def test_tree_search_and_forest(spark, coarse):
     assert [nested(t) for t in grown] == [nested(t) for t in again] and nested(grown[0]) != nested(grown[1])
     shares = trees.importances(grown, 3)
     assert shares.sum() == pytest.approx(1) and shares[2] < min(shares[:2])
+
+
+def test_gradients_hold_few_activations():
+    """A block's activations are worked on in cache-sized parts, not whole."""
+    nets = [networks.Net((7, 7, 7), 0.1)] * 24
+    group = networks._Group([(i, n, -1) for i, n in enumerate(nets)], 4, 1)
+    rng = np.random.default_rng(0)
+    x, y, f = rng.normal(size=(4096, 4)), rng.integers(0, 2, 4096).astype(float), np.zeros(4096, dtype="<i4")
+    tracemalloc.start()
+    group.gradient(x, y, f)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8 << 20
