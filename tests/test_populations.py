@@ -285,3 +285,16 @@ def test_gradients_hold_few_activations():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 8 << 20
+
+
+def test_tasks_get_few_blocks_at_a_time(spark):
+    data = blocks.pack(spark.range(50 * blocks.BLOCK_ROWS, numPartitions=1).selectExpr("array(cast(id as double)) as x"), "x")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+    def fn(x, y, f):
+        return np.array([1.0, sys._getframe(1).f_locals["batch"].num_rows])
+
+    count, sizes = blocks.summed(data, fn, 2)
+    assert count == data.count() > 10 * blocks.SENT
+    assert sizes <= blocks.SENT * count
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
