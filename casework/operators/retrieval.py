@@ -36,6 +36,8 @@ MAX_BROADCAST_QUESTIONS = 20_000
 SCORE_CELLS = 4_000_000
 #: Candidates a task holds before it cuts them to the best (or twice what it must keep).
 HELD_ROWS = 1_000_000
+#: Question and chunk pairs that one task of the keyword ranking may add up, and the most tasks it is dealt to.
+TASK_PAIRS, MOST_TASKS = 1_000_000, 10_000
 #: Rows of one block in the blocked form.
 BLOCK_ROWS = 20_000
 
@@ -218,18 +220,21 @@ def bm25(
     Only postings of question terms leave the scan of a :func:`keyword_index`. They are hashed by
     chunk id, which is even however common a term is; the questions' terms are a counted,
     broadcast side, so scores add up without a further shuffle, and the rank cut starts in every
-    task.
+    task. The number of tasks follows from the counts of questions and chunks, so that the pairs a task
+    adds up stay bounded.
     """
     asked = queries.select(F.col(query_id).alias("q_id"), F.explode(F.array_distinct(tokenise(F.col(text)))).alias("term"))
     stats = index.agg(F.count(F.lit(1)).alias("n"), F.avg("length").alias("avg_length"))
     few = is_small(asked)
     vocabulary = asked.select("term").distinct()
     vocabulary = F.broadcast(vocabulary) if few else vocabulary
+    pairs = index.count() * asked.select("q_id").distinct().count()
+    tasks = min(MOST_TASKS, max(index.sparkSession.sparkContext.defaultParallelism, math.ceil(pairs / TASK_PAIRS)))
     postings = (
         index.select("id", "length", F.explode("postings").alias("p"))
         .select("id", "length", "p.term", "p.tf")
         .join(vocabulary, "term", "left_semi")
-        .repartition("id")
+        .repartition(tasks, "id")
     )
     n, avg_length = stats.select("n").scalar(), stats.select("avg_length").scalar()
     df = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))

@@ -132,6 +132,16 @@ def test_bm25_against_the_formula(spark):
     assert got == pytest.approx(want)
 
 
+def test_keyword_tasks_follow_the_pairs(spark):
+    """A task adds up a bounded number of question and chunk pairs, however many there are."""
+    chunks = spark.range(20_000).selectExpr("id", "concat('late payment ', id) as content")
+    queries = spark.range(1000).selectExpr("id as q_id", "'late payment' as text")
+    found = retrieval.bm25(queries, retrieval.keyword_index(chunks))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    dealt = [int(n) for n in re.findall(r"hashpartitioning\(id#\d+L?, (\d+)\), REPARTITION_BY_NUM", plan)]
+    assert dealt and min(dealt) >= 20
+
+
 def test_rrf_and_rerank(spark):
     a = spark.createDataFrame([(1, 10, 1), (1, 11, 2)], "q_id long, id long, rank long")
     b = spark.createDataFrame([(1, 11, 1)], "q_id long, id long, rank long")
