@@ -15,6 +15,10 @@ from pyspark.sql import types as T
 from casework.functions.text import terms
 
 
+#: Characters of the texts whose tokens a task holds at a time.
+TOKENISED_CHARS = 1 << 20
+
+
 def _of_known(values: pd.Series, fn: Callable[[list], Sequence]) -> list:
     """``fn`` of the non-null values as one list; null stays null."""
     known = values.notna()
@@ -27,16 +31,31 @@ def _of_known(values: pd.Series, fn: Callable[[list], Sequence]) -> list:
     return out
 
 
+def _slices(texts: pd.Series, chars: int) -> Iterator[pd.Series]:
+    """Consecutive parts of at most so many characters, or of one longer text."""
+    first, held = 0, 0
+    for i, t in enumerate(texts):
+        size = 0 if t is None else len(t)
+        if i > first and held + size > chars:
+            yield texts.iloc[first:i]
+            first, held = i, 0
+        held += size
+    yield texts.iloc[first:]
+
+
 def register_tokeniser(fn: Callable, batched: bool = False) -> Callable[[Column], Column]:
     """Text → tokens, for chunking and keyword search instead of whitespace tokens.
 
-    ``fn`` takes one text, or with ``batched`` the texts of an Arrow batch and gives a list of token lists.
+    ``fn`` takes one text, or with ``batched`` some texts of an Arrow batch and gives a list of token lists.
+    A task holds the tokens of about ``TOKENISED_CHARS`` characters, or of one longer text, at a time.
     """
     many = fn if batched else lambda texts: [fn(t) for t in texts]
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
-    def tokenise(texts: pd.Series) -> pd.Series:
-        return pd.Series([None if t is None else list(t) for t in _of_known(texts, many)], index=texts.index, dtype=object)
+    def tokenise(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            for part in _slices(texts, TOKENISED_CHARS):
+                yield pd.Series([None if t is None else list(t) for t in _of_known(part, many)], index=part.index, dtype=object)
 
     return tokenise
 

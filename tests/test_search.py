@@ -231,3 +231,12 @@ def test_hooks_take_batches_and_keep_nulls(spark):
     assert [r.s for r in df.select("id", score(F.lit("q"), F.col("t")).alias("s")).orderBy("id").collect()] == [3.0, None, 0.0, 1.0]
     with pytest.raises(Exception, match="results for"):
         df.select(register_tokeniser(lambda texts: [], batched=True)("t")).collect()
+
+
+def test_tokeniser_hook_gets_bounded_texts(spark):
+    """However many texts an Arrow batch has, the tokens of few are held at a time."""
+    df = spark.range(50, numPartitions=1).selectExpr("id", "if(id % 7 = 3, null, repeat('word ', 20000)) as t")
+    sizes = register_tokeniser(lambda texts: [[str(sum(map(len, texts)))] for _ in texts], batched=True)
+    got = df.select("id", sizes("t").alias("w")).collect()
+    assert [r.id for r in got if r.w is None] == [i for i in range(50) if i % 7 == 3]
+    assert max(int(r.w[0]) for r in got if r.w) <= 1 << 20
