@@ -7,8 +7,7 @@ texts are scored as one batch under a causal mask. The next id is predicted as a
 frequent ids have one each, the others share classes by frequency) times the id's share in its
 class, which is a proper distribution over all ids.
 
-Training is numpy in tasks, on a ``1 / TRAIN_SHARE`` share of the different training texts (which
-grows with the corpus). The texts are dealt by their hash into shards of about ``SHARD`` ids, every
+Training is numpy in tasks, on every different training text. The texts are dealt by their hash into shards of about ``SHARD`` ids, every
 shard is trained on in an order of its own, and parameters are averaged, ``ROUNDS`` times; so the
 model follows from the texts (up to rounding), not from files or partitions.
 
@@ -45,7 +44,7 @@ from casework.llm.common import materialise, slices
 WINDOW, STRIDE, WIDTH = 32, 24, 16
 CLASSES, OWN_CLASSES, INPUTS = 64, 44, 512
 IDS, END, START = 49_408, 49_407, 49_406
-TRAIN_SHARE, SHARD, ROUNDS, BATCH, STEP = 32, 500_000, 2, 64, 0.01
+SHARD, ROUNDS, BATCH, STEP = 500_000, 2, 64, 0.01
 HOT = 50_000
 KEPT_WORDS, KEPT_BYTES = 300_000, 16 << 20
 SLICE_ROWS, SLICE_BYTES = 1000, 4 << 20
@@ -319,17 +318,16 @@ def _summed(rows: DataFrame, size: int) -> tuple[np.ndarray, float]:
 
 
 def train(docs: DataFrame, path: str) -> Model:
-    """The attention model, trained on a share of the different texts that are not held out."""
+    """The attention model, trained on all different texts that are not held out."""
     spark = docs.sparkSession
-    texts = docs.where("NOT held").select(F.coalesce("text", F.lit("")).alias("text"))
-    sample = texts.where(F.pmod(F.xxhash64("text"), F.lit(TRAIN_SHARE)) == 0).distinct()
+    texts = docs.where("NOT held").select(F.coalesce("text", F.lit("")).alias("text")).distinct()
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _pieces(batches):
             ids = _known(path).of(batch)[2]
             yield pa.RecordBatch.from_arrays([pa.array([x.astype("<u2").tobytes() for x in ids], pa.binary())], names=["ids"])
 
-    written = materialise(sample.mapInArrow(tokens, "ids binary"), "training-texts")
+    written = materialise(texts.mapInArrow(tokens, "ids binary"), "training-texts")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(IDS)

@@ -358,3 +358,11 @@ def test_pipeline_stages_keep_columns_with_clashing_names(spark, untidy):
         for r in rows:
             key = "-" if r.doc_id is None else str(r.doc_id)
             assert all(r[k] == v + key for k, v in own.items()), name
+
+
+def test_every_training_text_trains_the_model(spark):
+    """Not a share of the texts: each of a few single texts moves the parameters."""
+    start = scoring.Model(np.zeros(scoring.IDS)).vector()
+    for i in range(3):
+        docs = spark.createDataFrame([(f"only text number {i} " * 20, False)], "text string, held boolean")
+        assert not np.array_equal(scoring.train(docs, wordbpe.default_path()).vector(), start)
