@@ -7,8 +7,10 @@ texts are scored as one batch under a causal mask. The next id is predicted as a
 frequent ids have one each, the others share classes by frequency) times the id's share in its
 class, which is a proper distribution over all ids.
 
-Training is numpy in tasks, on every different training text. The texts are dealt by their hash into shards of about ``SHARD`` ids, every
-shard is trained on in an order of its own, and parameters are averaged, ``ROUNDS`` times; so the
+Texts are split and encoded once; their word hashes and subword ids are written and read by all later steps.
+
+Training is numpy in tasks, on every different training text. The texts are dealt by their hash into shards of about ``SHARD`` ids, each
+written as one row. Every shard is trained on in an order of its own, and parameters are averaged, ``ROUNDS`` times; so the
 model follows from the texts (up to rounding), not from files or partitions.
 
 Word counts cover every training text. The ``HOT`` most frequent words, a fixed bound, travel to
@@ -86,6 +88,7 @@ class Model:
         self.p["b"] = np.log(share / share.sum()).astype(np.float32)
         ahead = np.arange(WINDOW)[None, :] > np.arange(STRIDE)[:, None] + WINDOW - STRIDE
         self.mask = np.where(ahead, np.float32(-1e9), np.float32(0))
+        self.rooms: dict[str, np.ndarray] = {}
 
     def vector(self) -> np.ndarray:
         return np.concatenate([v.ravel() for v in self.p.values()])
@@ -96,23 +99,39 @@ class Model:
             self.p[k] = vector[at : at + v.size].reshape(v.shape).astype(np.float32)
             at += v.size
 
+    def room(self, name: str, *shape: int) -> np.ndarray:
+        """Memory kept from batch to batch; fresh arrays of this size cost more than what is done with them."""
+        size = math.prod(shape)
+        if name not in self.rooms or self.rooms[name].size < size:
+            self.rooms[name] = np.empty(size, dtype=np.float32)
+        return self.rooms[name][:size].reshape(shape)
+
     def forward(self, inputs: np.ndarray, pad: np.ndarray):
-        p = self.p
-        x = p["E"][inputs] + p["P"]
-        xq = x[:, WINDOW - STRIDE :]
-        q, k, v = xq @ p["Q"], x @ p["K"], x @ p["V"]
-        s = (q * np.float32(1 / math.sqrt(WIDTH))) @ k.transpose(0, 2, 1)
+        """What the last layer gives, and all steps before it; valid until the next call."""
+        p, n = self.p, len(inputs)
+        x = p["E"].take(inputs, axis=0, out=self.room("x", n, WINDOW, WIDTH), mode="clip")
+        x += p["P"]
+        # One product for queries, keys and values; the scale of the queries is a power of two, so it rounds nothing.
+        w = np.hstack([p["Q"] * np.float32(1 / math.sqrt(WIDTH)), p["K"], p["V"]])
+        qkv = self.room("qkv", n, WINDOW, 3 * WIDTH)
+        np.matmul(x.reshape(-1, WIDTH), w, out=qkv.reshape(-1, 3 * WIDTH))
+        q, k, v = qkv[:, WINDOW - STRIDE :, :WIDTH], qkv[:, :, WIDTH : 2 * WIDTH], qkv[:, :, 2 * WIDTH :]
+        s = np.matmul(q, k.transpose(0, 2, 1), out=self.room("s", n, STRIDE, WINDOW))
         apart = _far(s)
         s += self.mask
         first = np.flatnonzero(pad[:, 0])  # windows at the start of a text
-        s[first] += pad[first, None, :]
+        if len(first):
+            s[first] += pad[first, None, :]
         if apart:
             s -= s.max(-1, keepdims=True)
         np.exp(s, out=s)
-        total = s @ np.ones((WINDOW, 1), dtype=np.float32)
-        h = xq + (s @ v) / total
-        logits = h.reshape(-1, WIDTH) @ p["U"] + p["b"]
-        return x, xq, q, k, v, s, total, h, logits
+        total = (s.reshape(-1, WINDOW) @ np.ones(WINDOW, dtype=np.float32)).reshape(n, STRIDE, 1)
+        seen = np.matmul(s, v, out=self.room("seen", n, STRIDE, WIDTH))
+        seen /= total
+        h = np.add(seen, x[:, WINDOW - STRIDE :], out=self.room("h", n, STRIDE, WIDTH))
+        logits = np.matmul(h.reshape(-1, WIDTH), p["U"], out=self.room("logits", n * STRIDE, CLASSES))
+        logits += p["b"]
+        return x, w, q, k, v, s, total, seen, h, logits
 
     def score(self, inputs: np.ndarray, pad: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Natural log-probability of each target id; ``targets`` has one row of STRIDE ids per window."""
@@ -120,32 +139,43 @@ class Model:
         goal = targets.ravel()
         if _far(logits):
             logits -= logits.max(1, keepdims=True)
-        own = logits[np.arange(len(goal)), self.class_of[goal]]
+        own = logits.ravel()[np.arange(0, logits.size, CLASSES) + self.class_of[goal]]
         total = np.log(np.exp(logits, out=logits) @ np.ones(CLASSES, dtype=np.float32))
         return own - total + self.within[goal]
 
     def gradient(self, inputs, pad, targets, real) -> dict[str, np.ndarray]:
-        p = self.p
-        x, xq, q, k, v, s, total, h, logits = self.forward(inputs, pad)
-        logits -= logits.max(1, keepdims=True)
+        """Gradient of the mean loss over real positions; valid until the next call."""
+        p, n, over = self.p, len(inputs), WINDOW - STRIDE
+        x, w, q, k, v, s, total, seen, h, logits = self.forward(inputs, pad)
+        flat = lambda m: m.reshape(-1, m.shape[-1])
+        if _far(logits):
+            logits -= logits.max(1, keepdims=True)
         np.exp(logits, out=logits)
-        logits /= logits.sum(1, keepdims=True)
-        logits[np.arange(len(logits)), self.class_of[targets.ravel()]] -= 1
-        logits *= (real.ravel() / max(real.sum(), 1))[:, None].astype(np.float32)
-        g = {"U": h.reshape(-1, WIDTH).T @ logits, "b": logits.sum(0)}
-        dh = (logits @ p["U"].T).reshape(h.shape)
-        a = s / total
-        da = dh @ v.transpose(0, 2, 1)
-        dv = a.transpose(0, 2, 1) @ dh
-        ds = a * (da - (da * a).sum(-1, keepdims=True)) * np.float32(1 / math.sqrt(WIDTH))
-        dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-        flat = lambda m: m.reshape(-1, WIDTH)
-        g["Q"], g["K"], g["V"] = flat(xq).T @ flat(dq), flat(x).T @ flat(dk), flat(x).T @ flat(dv)
-        dx = dk @ p["K"].T + dv @ p["V"].T
-        dx[:, WINDOW - STRIDE :] += dh + dq @ p["Q"].T
+        weight = (real.ravel() / max(real.sum(), 1)).astype(np.float32)
+        logits *= (weight / (logits @ np.ones(CLASSES, dtype=np.float32)))[:, None]
+        logits.ravel()[np.arange(0, logits.size, CLASSES) + self.class_of[targets.ravel()]] -= weight
+        g = {"U": (logits.T @ flat(h)).T, "b": np.ones(len(logits), dtype=np.float32) @ logits}
+        dh = self.room("dh", n, STRIDE, WIDTH)
+        np.matmul(logits, p["U"].T, out=flat(dh))
+        # With a = s / total, the row sums of da * a are those of dh * seen, which has fewer columns.
+        part = np.divide(dh, total, out=self.room("part", n, STRIDE, WIDTH))
+        ds = np.matmul(part, v.transpose(0, 2, 1), out=self.room("ds", n, STRIDE, WINDOW))
+        seen *= part
+        ds -= (flat(seen) @ np.ones(WIDTH, dtype=np.float32)).reshape(n, STRIDE, 1)
+        ds *= s
+        dqkv = self.room("dqkv", n, WINDOW, 3 * WIDTH)
+        dqkv[:, :over, :WIDTH] = 0
+        np.matmul(ds, k, out=dqkv[:, over:, :WIDTH])
+        np.matmul(ds.transpose(0, 2, 1), q, out=dqkv[:, :, WIDTH : 2 * WIDTH])
+        np.matmul(s.transpose(0, 2, 1), part, out=dqkv[:, :, 2 * WIDTH :])
+        dw = (flat(dqkv).T @ flat(x)).T
+        g["Q"], g["K"], g["V"] = dw[:, :WIDTH] * np.float32(1 / math.sqrt(WIDTH)), dw[:, WIDTH : 2 * WIDTH], dw[:, 2 * WIDTH :]
+        dx = self.room("dx", n, WINDOW, WIDTH)
+        np.matmul(flat(dqkv), w.T, out=flat(dx))
+        dx[:, over:] += dh
         g["P"] = dx.sum(0)
-        g["E"] = np.zeros_like(p["E"])
-        np.add.at(g["E"], inputs.ravel(), flat(dx))
+        spots = (inputs.reshape(-1, 1).astype(np.int64) * WIDTH) + np.arange(WIDTH)
+        g["E"] = np.bincount(spots.ravel(), dx.ravel(), INPUTS * WIDTH).astype(np.float32).reshape(INPUTS, WIDTH)
         return g
 
 
@@ -172,7 +202,7 @@ def windows(texts: list[np.ndarray], model: Model):
     return model.input_of[seen], pad, goal[scored], real[scored], np.repeat(np.arange(len(texts)), counts)
 
 
-def score_texts(texts: list[np.ndarray], model: Model, chunk: int = 384) -> np.ndarray:
+def score_texts(texts: list[np.ndarray], model: Model, chunk: int = 128) -> np.ndarray:
     """Log10 probability of each text of ids (the end included)."""
     out = np.zeros(len(texts))
     inputs, pad, goal, real, owner = windows(texts, model)
@@ -183,68 +213,56 @@ def score_texts(texts: list[np.ndarray], model: Model, chunk: int = 384) -> np.n
     return out / math.log(10)
 
 
-class _Numbers(dict):
-    """Words met by a task, numbered, with the hash of each."""
+class _Words(dict):
+    """Words met by a task, numbered, with the hash and the subword ids of each."""
 
-    def __init__(self):
+    def __init__(self, path: str):
         super().__init__()
+        self.encoder = wordbpe.WordEncoder(path, kept=0)
         self.forget()
 
     def forget(self) -> None:
         self.clear()
-        self.hashes, self.held = array("Q"), 0
-        self.add(_END_WORD)
+        self.hashes, self.ids, self.ends, self.held = array("Q", [_END_HASH]), array("H", [END]), array("q", [0, 1]), 1
+        self[_END_WORD] = 0
 
     def full(self) -> bool:
         return len(self) > KEPT_WORDS or self.held > KEPT_BYTES
 
-    def add(self, word: bytes) -> int:
-        spot = self[word] = len(self)
-        self.hashes.append(_END_HASH if word == _END_WORD else xxhash.xxh3_64_intdigest(word))
-        self.held += len(word)
-        return spot
-
     def spots(self, found: list[bytes]) -> np.ndarray:
-        """Number of each word; new ones get the next."""
+        """Number of each word, all different; new ones get the next."""
         got = np.fromiter(map(self.get, found, repeat(-1)), dtype=np.int64, count=len(found))
-        for i in np.flatnonzero(got < 0).tolist():
-            spot = self.get(found[i])
-            got[i] = self.add(found[i]) if spot is None else spot
+        fresh = np.flatnonzero(got < 0)
+        new = [found[i] for i in fresh.tolist()]
+        got[fresh] = np.arange(len(self), len(self) + len(new))
+        self.update(zip(new, range(len(self), len(self) + len(new))))
+        self.hashes.extend(map(xxhash.xxh3_64_intdigest, new))
+        self.held += sum(map(len, new))
+        encode, ids, ends = self.encoder.encode, self.ids, self.ends
+        for word in new:
+            ids.extend(encode(word.decode("utf-8", "replace")))
+            ends.append(len(ids))
         return got
 
     def hashed(self) -> np.ndarray:
         return np.array(self.hashes, dtype=np.uint64).view(np.int64)
 
-
-class _Words(_Numbers):
-    """Numbered words with their subword ids."""
-
-    def __init__(self, path: str):
-        self.encoder = wordbpe.WordEncoder(path, kept=0)
-        super().__init__()
-
-    def forget(self) -> None:
-        self.ids, self.ends = array("H"), array("q", [0])
-        super().forget()
-
-    def add(self, word: bytes) -> int:
-        self.ids.extend([END] if word == _END_WORD else self.encoder.encode(word.decode("utf-8", "replace")))
-        self.ends.append(len(self.ids))
-        return super().add(word)
-
     def of(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
         """Word hashes of the texts of a batch (ends included), how many each text has, and the ids of each text."""
-        if self.full():
-            self.forget()
+        spots, sizes, ids = self.numbered(batch)
+        return self.hashed()[spots], sizes, ids
+
+    def numbered(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        """The same with numbers in place of hashes."""
         spots, sizes = _spots(batch, self)
         ends = np.array(self.ends)
         lengths = np.diff(ends)[spots]
         upto = np.cumsum(lengths)
         ids = np.array(self.ids).astype(np.int64)[np.repeat(ends[spots] - (upto - lengths), lengths) + np.arange(lengths.sum())]
-        return self.hashed()[spots], sizes, np.split(ids, upto[np.cumsum(sizes)[:-1] - 1])
+        return spots, sizes, np.split(ids, upto[np.cumsum(sizes)[:-1] - 1])
 
 
-def _spots(batch: pa.RecordBatch, known: _Numbers) -> tuple[np.ndarray, np.ndarray]:
+def _spots(batch: pa.RecordBatch, known: _Words) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of the words of all texts, each text with its end, and how many each has; one lookup per different word."""
     text = batch.column(batch.schema.get_field_index("text"))  # no cast: Arrow lower-cases a cast slice wrongly
     parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(text, "")))
@@ -277,28 +295,56 @@ def _known(path: str) -> _Words:
     return _WORDS[path]
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """Written ``word, c``: occurrences of each word hash in the texts that are not held out."""
+def tokens(docs: DataFrame, path: str) -> DataFrame:
+    """Written once, read by every later step: a row per text and rows of counts.
+
+    A text has its ``id`` and ``held``, a hash of the text (``same``), whether its task met it before with the same ``held`` (``again``), the hashes of
+    its words with its end (``words``) and its subword ``ids``. A row of counts has only ``counts``: words of the
+    texts that are not held out, each with its occurrences in a part of a task.
+    """
+    names = ["id", "held", "same", "again", "words", "ids", "counts"]
+    pairs = pa.list_(pa.struct([("word", pa.int64()), ("c", pa.int64())]))
+    types = [pa.int64(), pa.bool_(), pa.int64(), pa.bool_(), pa.binary(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, total = _Numbers(), np.zeros(1, dtype=np.int64)
+        known, met, total = _known(path), set(), np.zeros(1, dtype=np.int64)
 
-        def counts() -> pa.RecordBatch:
+        def counted() -> pa.RecordBatch:
             seen = np.flatnonzero(total)
-            return pa.RecordBatch.from_arrays([pa.array(known.hashed()[seen]), pa.array(total[seen])], names=["word", "c"])
+            rows = pa.StructArray.from_arrays([pa.array(known.hashed()[seen]), pa.array(total[seen])], names=["word", "c"])
+            lists = pa.ListArray.from_arrays(pa.array([0, len(seen)], pa.int32()), rows).cast(pairs)
+            return pa.RecordBatch.from_arrays([*(pa.nulls(1, t) for t in types), lists], names=names)
 
         for batch in _pieces(batches):
             if known.full():
-                yield counts()
+                yield counted()
                 known.forget()
                 total = np.zeros(1, dtype=np.int64)
-            more = np.bincount(_spots(batch, known)[0], minlength=len(known))
+            if len(met) > KEPT_WORDS:
+                met.clear()
+            spots, sizes, ids = known.numbered(batch)
+            held, same = batch.column("held"), batch.column("same")
+            more = np.bincount(spots[np.repeat(~held.to_numpy(zero_copy_only=False), sizes)], minlength=len(known))
             more[: len(total)] += total
             total = more
-        yield counts()
+            ends = np.cumsum(sizes)
+            words = [x.tobytes() for x in np.split(known.hashed()[spots], ends[:-1])]
+            raw, again = [x.astype("<u2").tobytes() for x in ids], []
+            for key in zip(held.to_pylist(), same.to_pylist(), map(xxhash.xxh3_128_digest, raw)):
+                again.append(key in met)
+                met.add(key)
+            made = [pa.array(again), pa.array(words, pa.binary()), pa.array(raw, pa.binary()), pa.nulls(len(ids), pairs)]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), held, same, *made], names=names)
+        yield counted()
+
+    read = docs.select("id", "held", F.xxhash64(F.coalesce("text", F.lit(""))).alias("same"), "text")
+    schema = "id long, held boolean, same long, again boolean, words binary, ids binary, counts array<struct<word:long,c:long>>"
+    return materialise(read.mapInArrow(run, schema), "text-tokens", compression="zstd")
+
 
-    counted = docs.where("NOT held").select("text").mapInArrow(run, "word long, c long")
-    return materialise(counted.groupBy("word").agg(F.sum("c").alias("c")), "word-counts")
+def word_counts(read: DataFrame) -> DataFrame:
+    """Written ``word, c``: occurrences of each word hash in the texts of :func:`tokens` that are not held out."""
+    return materialise(read.select(F.inline("counts")).groupBy("word").agg(F.sum("c").alias("c")), "word-counts")
 
 
 def _summed(rows: DataFrame, size: int) -> tuple[np.ndarray, float]:
@@ -317,74 +363,100 @@ def _summed(rows: DataFrame, size: int) -> tuple[np.ndarray, float]:
     return sum((np.frombuffer(bytes(r.v), dtype="<f8") for r in got), np.zeros(size)), sum(r.n for r in got)
 
 
-def train(docs: DataFrame, path: str) -> Model:
-    """The attention model, trained on all different texts that are not held out."""
-    spark = docs.sparkSession
-    texts = docs.where("NOT held").select(F.coalesce("text", F.lit("")).alias("text")).distinct()
+def _texts(shard: pa.RecordBatch | pa.Table) -> Iterator[list[np.ndarray]]:
+    """The ids of the texts of each shard."""
+    for texts in shard.column("texts"):
+        yield [np.frombuffer(x.as_buffer(), dtype="<u2").astype(np.int64) for x in texts.values]
+
+
+def _fitted(shared: Model, texts: list[np.ndarray], seed: int, r: int) -> tuple[np.ndarray, int]:
+    """Parameters after every ``ROUNDS``-th batch-ordered window of a shard from the ``r``-th on, and how many windows those are."""
+    local = copy.copy(shared)
+    local.rooms, now = {}, shared.vector().astype(np.float32)
+    local.p, at = {}, 0
+    for k, v in shared.p.items():  # views, so that one step moves all parameters
+        local.p[k] = now[at : at + v.size].reshape(v.shape)
+        at += v.size
+    first, second = np.zeros_like(now), np.zeros_like(now)
+    inputs, pad, goal, real, _ = windows(texts, local)
+    order = np.random.default_rng(seed).permutation(len(inputs))[r::ROUNDS]
+    for step, at in enumerate(range(0, len(order), BATCH), 1):
+        pick = order[at : at + BATCH]
+        g = local.gradient(inputs[pick], pad[pick], goal[pick], real[pick])
+        v = np.concatenate([g[k].ravel() for k in local.p])
+        first += 0.1 * (v - first)
+        second += 0.01 * (v * v - second)
+        now -= STEP * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-6)
+    return now, len(order)
 
-    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _pieces(batches):
-            ids = _known(path).of(batch)[2]
-            yield pa.RecordBatch.from_arrays([pa.array([x.astype("<u2").tobytes() for x in ids], pa.binary())], names=["ids"])
 
-    written = materialise(texts.mapInArrow(tokens, "ids binary"), "training-texts")
+def shards(read: DataFrame) -> DataFrame:
+    """Written ``shard, texts``: the ids of all different texts that are not held out, in shards of about ``SHARD`` ids."""
+    known = read.where("NOT held AND NOT again")  # copies are left out in their task, so no shard gets a row per copy
+    n = known.select("same", F.octet_length("ids").alias("size")).distinct().agg(F.sum("size") / 2).first()[0] or 0
+    dealt = known.select("same", "ids", F.pmod(F.xxhash64("ids"), F.lit(max(1, math.ceil(n / SHARD)))).alias("shard"))
+
+    def gather(key, rows):
+        texts = sorted(ids for _, ids in set(zip(rows.column("same").to_pylist(), rows.column("ids").to_pylist())))
+        return pa.table({"shard": pa.array([key[0].as_py()], pa.int64()), "texts": pa.array([texts], pa.list_(pa.binary()))})
+
+    return materialise(dealt.groupBy("shard").applyInArrow(gather, "shard long, texts array<binary>"), "training-shards", compression="zstd")
+
+
+def trained(read: DataFrame) -> Model:
+    """The attention model, trained on all different texts of :func:`tokens` that are not held out."""
+    spark, dealt = read.sparkSession, shards(read)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(IDS)
         for batch in batches:
-            for raw in batch.column(0).to_pylist():
-                total += np.bincount(np.frombuffer(raw, dtype="<u2"), minlength=IDS)
+            for texts in _texts(batch):
+                total += np.bincount(np.concatenate(texts), minlength=IDS)
         yield pa.RecordBatch.from_arrays([pa.array([float(total.sum())]), pa.array([total.tobytes()], pa.binary())], names=["n", "v"])
 
-    id_counts, n = _summed(written.mapInArrow(count, "n double, v binary"), IDS)
-    model = Model(id_counts)
-    size, shards = model.vector().size, max(1, math.ceil(n / SHARD))
-    dealt = written.withColumn("shard", F.pmod(F.xxhash64("ids"), F.lit(shards)))
+    model = Model(_summed(dealt.mapInArrow(count, "n double, v binary"), IDS)[0])
     for r in range(ROUNDS):
         shared = spark.sparkContext.broadcast(model)
 
-        def fit(key, rows):
-            local = copy.copy(shared.value)
-            local.p = {k: v.copy() for k, v in local.p.items()}
-            first = {k: np.zeros_like(v) for k, v in local.p.items()}
-            second = {k: np.zeros_like(v) for k, v in local.p.items()}
-            texts = [np.frombuffer(x, dtype="<u2").astype(np.int64) for x in sorted(rows.column("ids").to_pylist())]
-            inputs, pad, goal, real, _ = windows(texts, local)
-            order = np.random.default_rng(key[0].as_py()).permutation(len(inputs))[r::ROUNDS]
-            for step, at in enumerate(range(0, len(order), BATCH), 1):
-                pick = order[at : at + BATCH]
-                g = local.gradient(inputs[pick], pad[pick], goal[pick], real[pick])
-                for k, v in g.items():
-                    first[k] += 0.1 * (v - first[k])
-                    second[k] += 0.01 * (v * v - second[k])
-                    local.p[k] -= STEP * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-6)
-            vector = local.vector().astype("<f8") * len(order)
-            return pa.table({"n": pa.array([float(len(order))]), "v": pa.array([vector.tobytes()], pa.binary())})
-
-        total, weight = _summed(dealt.groupBy("shard").applyInArrow(fit, "n double, v binary"), size)
+        def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for seed, texts in zip(batch.column("shard").to_pylist(), _texts(batch)):
+                    vector, n = _fitted(shared.value, texts, seed, r)
+                    vector = vector.astype("<f8") * n
+                    yield pa.RecordBatch.from_arrays([pa.array([float(n)]), pa.array([vector.tobytes()], pa.binary())], names=["n", "v"])
+
+        total, weight = _summed(dealt.mapInArrow(fit, "n double, v binary"), model.vector().size)
         if weight:
             model.load(total / weight)
     return model
 
 
+def train(docs: DataFrame, path: str) -> Model:
+    """The attention model, trained on all different texts of ``docs`` (``text, held``) that are not held out."""
+    return trained(tokens(docs.select(F.lit(0).cast("long").alias("id"), "text", "held"), path))
+
+
 def score(docs: DataFrame, id: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
     """Per row: id, held_out, token counts, ``base_score`` of the word counts and ``score`` of the model."""
     spark, path = docs.sparkSession, path or wordbpe.default_path()
     slim = docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text")).withColumn("held", held_out(F.col("id")))
-    counts = word_counts(slim)
+    read = tokens(slim, path)
+    counts = word_counts(read)
     whole = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     top = counts.orderBy(F.desc("c"), "word").limit(HOT).collect()
     hot_words = np.array([r.word for r in top], dtype=np.int64)
     hot_counts = np.array([r.c for r in top], dtype=np.float64)
     order = np.argsort(hot_words)
     total = math.log10(whole.n + whole.v + 1)
-    shared = spark.sparkContext.broadcast((train(slim, path), hot_words[order], np.log10(hot_counts[order] + 1)))
+    shared = spark.sparkContext.broadcast((trained(read), hot_words[order], np.log10(hot_counts[order] + 1)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, hot, logs = shared.value
-        known, part, row = _known(path), TaskContext.get().partitionId(), 0
+        part, row = TaskContext.get().partitionId(), 0
         for batch in _pieces(batches):
-            flat, sizes, ids = known.of(batch)
+            words = [np.frombuffer(x.as_buffer(), dtype="<i8") for x in batch.column("words")]
+            flat, sizes = np.concatenate(words), np.array([len(x) for x in words])
+            ids = [np.frombuffer(x.as_buffer(), dtype="<u2").astype(np.int64) for x in batch.column("ids")]
             n = len(sizes)
             owner = np.repeat(np.arange(n), sizes)
             if len(hot):
@@ -400,11 +472,11 @@ def score(docs: DataFrame, id: str = "doc_id", text: str = "text", path: str | N
             keys = (np.int64(part) << 40) + row + np.arange(n)
             row += n
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys), batch.column(0), batch.column(2), pa.array(sizes), pa.array(sure.astype(np.int64)), pa.array(base), pa.array(score_texts(ids, model)), lists],
+                [pa.array(keys), batch.column("id"), batch.column("held"), pa.array(sizes.astype(np.int64)), pa.array(sure.astype(np.int64)), pa.array(base), pa.array(score_texts(ids, model)), lists],
                 names=["key", "id", "held", "n_tokens", "sure", "base", "score", "rare"],
             )
 
-    scored = slim.mapInArrow(run, "key long, id long, held boolean, n_tokens long, sure long, base double, score double, rare array<long>")
+    scored = read.where("ids IS NOT NULL").select("id", "held", "words", "ids").mapInArrow(run, "key long, id long, held boolean, n_tokens long, sure long, base double, score double, rare array<long>")
     scored = materialise(scored, "scored-texts")
     rare = scored.select("key", F.explode("rare").alias("word")).join(counts, "word", "left")
     rare = rare.groupBy("key").agg(F.sum(F.log10(F.coalesce("c", F.lit(0)) + 1) - total).alias("more"), F.count("c").alias("known"))

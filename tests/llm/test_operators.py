@@ -366,3 +366,42 @@ def test_every_training_text_trains_the_model(spark):
     for i in range(3):
         docs = spark.createDataFrame([(f"only text number {i} " * 20, False)], "text string, held boolean")
         assert not np.array_equal(scoring.train(docs, wordbpe.default_path()).vector(), start)
+
+
+def test_texts_are_read_once_for_all_steps(spark, untidy):
+    """Hashes and ids of every text are written once; the shards hold each different training text once."""
+    docs = untidy.select(F.col("doc_id").cast("long").alias("id"), "text").withColumn("held", scoring.held_out(F.col("id")))
+    kept_back = docs.withColumn("held", F.lit(True))  # the same texts, met first where they are not trained on
+    docs = kept_back.unionByName(docs).unionByName(docs).coalesce(1)
+    known = wordbpe.WordEncoder(wordbpe.default_path())
+    ids = lambda t: [j for w in common.words((t or "").encode()) for j in known.encode(w.decode("utf-8", "replace"))] + [scoring.END]
+    raw = lambda t: np.array(ids(t), dtype="<u2").tobytes()
+    read, given = scoring.tokens(docs, wordbpe.default_path()), docs.collect()
+    got = Counter((r.id, r.held, bytes(r.words), bytes(r.ids)) for r in read.where("ids IS NOT NULL").collect())
+    hashes = lambda t: np.array([*map(xxhash.xxh3_64_intdigest, common.words((t or "").encode())), 1], dtype="<u8").tobytes()
+    assert got == Counter((r.id, r.held, hashes(r.text), raw(r.text)) for r in given)
+    dealt = [bytes(x) for r in scoring.shards(read).collect() for x in r.texts]
+    assert sorted(dealt) == sorted(raw(t) for t in {r.text or "" for r in given if not r.held})
+
+
+def test_gradient_of_the_attention():
+    """Every kind of parameter against differences of the loss, over windows at the start and inside of texts."""
+    rng = np.random.default_rng(4)
+    model = scoring.Model(rng.integers(1, 50, scoring.IDS).astype(float))
+    model.p = {k: v * 3 for k, v in model.p.items()}
+    inputs, pad, goal, real, _ = scoring.windows([rng.integers(0, 300, n) for n in (5, 40, 61)], model)
+
+    def loss():
+        got = model.score(inputs, pad, goal).astype(np.float64) - model.within[goal.ravel()]
+        return -(got * real.ravel()).sum() / real.sum()
+
+    grads = {k: v.copy() for k, v in model.gradient(inputs, pad, goal, real).items()}
+    for k, g in grads.items():
+        way = rng.normal(size=g.shape).astype(np.float32) * (g != 0)
+        at, step = model.p[k], 1e-2 / np.linalg.norm(way)
+        model.p[k] = (at + step * way).astype(np.float32)
+        up = loss()
+        model.p[k] = (at - step * way).astype(np.float32)
+        slope = (up - loss()) / (2 * step)
+        model.p[k] = at
+        assert slope == pytest.approx(float((g * way).sum()), rel=0.03, abs=3e-3), k
