@@ -298,3 +298,36 @@ def test_tasks_get_few_blocks_at_a_time(spark):
     assert count == data.count() > 10 * blocks.SENT
     assert sizes <= blocks.SENT * count
     assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
+def test_networks_do_no_work_for_the_fold_they_leave_out(monkeypatch):
+    rng = np.random.default_rng(3)
+    x, y, f = rng.normal(size=(3000, 4)), rng.integers(0, 2, 3000).astype(float), rng.integers(0, 3, 3000).astype("<i4")
+    members = [(i, networks.Net((3, 2), 0.1), fold) for fold in (-1, 0, 1) for i in range(2)]
+    seen, forward = [0], networks._Group.forward
+
+    def counted(self, rows, at, *rest):
+        seen[0] += len(rows) * len(range(*at.indices(len(members))))
+        return forward(self, rows, at, *rest)
+
+    monkeypatch.setattr(networks._Group, "forward", counted)
+    got = networks._Group(members, 4, 1).gradient(x, y, f)
+    rows = [3000, 3000, *[int((f != k).sum()) for k in (0, 1) for _ in range(2)]]
+    assert got[-6:].tolist() == rows and seen[0] == sum(rows)
+    single = [networks._Group([m], 4, 1).gradient(x[f != m[2]], y[f != m[2]], f[f != m[2]]) for m in members]
+    assert got[-12:-6] == pytest.approx([s[-2] for s in single])
+
+
+def test_tabled_tangent_and_summed_logarithms():
+    rng = np.random.default_rng(5)
+    for wide, short in ((1.0, True), (60.0, False)):
+        u, out, space = rng.normal(0, wide, (3, 2, 501)), np.empty((3, 2, 501)), networks._Space()
+        want = np.tanh(u)
+        networks._tanh(u, out, short, space)
+        assert np.abs(out - want).max() < 1e-13
+    networks._tanh(np.array([[[np.nan, np.inf, -np.inf]]]), out := np.empty((1, 1, 3)), False, networks._Space())
+    assert np.isnan(out[0, 0, 0]) and out[0, 0, 1:].tolist() == [1, -1]
+    p = np.concatenate([rng.random((4, 37)), np.zeros((4, 40)), np.ones((4, 3))], axis=1)
+    for y in (rng.integers(0, 2, 80).astype(float), rng.random(80)):
+        q = np.clip(p, 1e-12, 1 - 1e-12)
+        assert networks._log_likelihood(p, y) == pytest.approx((y * np.log(q) + (1 - y) * np.log(1 - q)).sum(1), abs=1e-9)
