@@ -1,17 +1,19 @@
 """N-gram Jaccard join: documents whose sets of five-word shingles have a similarity of 0.75 or more.
 
-1. One pass over the texts writes each document's set size and a digest of its set, and sorted
-   shingle values dealt into ranges. Counting the ranges gives every value's frequency over all
-   documents.
-2. Shingles are ordered rarest first: seen once, seen twice or more (a bitmap of fixed size),
-   then by frequency class for the at most ``FREQUENT`` most frequent, then by hash. Both tables
-   have a fixed bound, whatever the input; beyond it the order is coarser, and results are equal.
-3. A second pass keeps each document's prefix in that order. A shingle seen once links nothing,
-   so only prefixes holding a repeated shingle are posted. Documents with equal sets are one node.
+1. One pass over the texts deals sorted shingle values of ``VALUE_BITS`` into ranges. Counting the
+   ranges gives every value's frequency over all documents.
+2. Shingles are ordered rarest first: seen once, seen twice or more (a bitmap of four bits or more
+   for each repeated value, 2^``BITMAP_BITS`` at most), then by frequency class for the at most
+   ``FREQUENT`` most frequent, then by hash. Both tables have a bound, whatever the input; beyond
+   it the order is coarser, and results are equal.
+3. A second pass writes each document's set size and a digest of its set, and its prefix in that
+   order. A shingle seen once links nothing, so only prefixes holding a repeated shingle are
+   posted, with their sets. Documents with equal sets are one node.
 4. Nodes that share a prefix shingle are candidates. A group of near copies would have all its
    pairs, so the nodes of each posting list are first checked against a few members of its largest
    component, ``STAR_ROUNDS`` times, and then only pairs
-   between different components are listed, with length and positional filters. Each pair is
+   between different components are listed, with length and positional filters. A list that lies
+   in one component stays so, and is dropped. Each pair is
    verified once: a suffix bound from counts per hash range, then the exact overlap.
 5. Components come from label propagation over the links; nothing is collected.
 
@@ -28,12 +30,14 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casework.llm.common import column_bytes, materialise, slices, words
@@ -41,9 +45,10 @@ from casework.llm.common import column_bytes, materialise, slices, words
 N = 5
 #: Similarity as a fraction: intersection * DOWN >= union * UP.
 UP, DOWN = 75, 100
-BITMAP_BITS = 26
+#: Bits of a shingle value, and of the largest bitmap (64 MB). Of fewer, many values would seem repeated on a large corpus.
+VALUE_BITS, BITMAP_BITS = 36, 29
 FREQUENT = 1 << 20
-FLUSH = 2_000_000
+FLUSH = 4_000_000
 STAR_ROUNDS, LEADERS = 4, 4
 KEPT_WORDS = 200_000
 
@@ -90,31 +95,36 @@ def digest(hashes: np.ndarray) -> bytes:
 
 
 def _values(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(32)).astype(np.uint32)
+    return hashes >> np.uint64(64 - VALUE_BITS)
 
 
-def _set_table(docs: DataFrame, range_bits: int) -> DataFrame:
-    """Written rows: documents (``id, n, digest``) and blocks of shingle values (``range, block``)."""
-    names = ["id", "n", "digest", "range", "block"]
-    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary()]
+def _packed(values: np.ndarray) -> bytes:
+    """Sorted values as compressed differences, the lowest bytes of all of them first."""
+    planes = np.diff(values, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, : -(-VALUE_BITS // 8)]
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes.T).tobytes())
+
+
+def _unpacked(block: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(block), dtype=np.uint8).reshape(-(-VALUE_BITS // 8), -1)
+    steps = np.zeros((planes.shape[1], 8), dtype=np.uint8)
+    steps[:, : len(planes)] = planes.T
+    return np.cumsum(steps.view("<u8")[:, 0], dtype=np.uint64)
+
+
+def _blocks(docs: DataFrame, range_bits: int) -> DataFrame:
+    """Blocks of sorted shingle values: ``range, block``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, held = [], 0
 
         def flush() -> pa.RecordBatch:
             values = np.sort(np.concatenate(waiting))
-            cuts = np.searchsorted(values, np.arange(1, 1 << range_bits, dtype=np.uint64) << np.uint64(32 - range_bits))
-            press = zstandard.ZstdCompressor(level=1)
-            got = [(i, press.compress(np.diff(v, prepend=np.uint32(0)).astype("<u4").tobytes())) for i, v in enumerate(np.split(values, cuts)) if len(v)]
-            n = len(got)
-            columns = [[None] * n, [None] * n, [None] * n, [i for i, _ in got], [b for _, b in got]]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+            cuts = np.searchsorted(values, np.arange(1, 1 << range_bits, dtype=np.uint64) << np.uint64(VALUE_BITS - range_bits))
+            got = [(i, _packed(v)) for i, v in enumerate(np.split(values, cuts)) if len(v)]
+            return pa.RecordBatch.from_arrays([pa.array([i for i, _ in got], pa.int32()), pa.array([b for _, b in got], pa.binary())], names=["range", "block"])
 
         for batch in slices(batches):
             sets = shingles(column_bytes(batch, "text"))
-            n = len(sets)
-            columns = [batch.column(0), pa.array([len(s) for s in sets], kinds[1]), pa.array([digest(s) for s in sets], kinds[2]), pa.nulls(n, kinds[3]), pa.nulls(n, kinds[4])]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
             waiting += [_values(s) for s in sets]
             held += sum(map(len, sets))
             if held >= FLUSH:
@@ -123,80 +133,95 @@ def _set_table(docs: DataFrame, range_bits: int) -> DataFrame:
         if held:
             yield flush()
 
-    return materialise(docs.mapInArrow(run, "id long, n long, digest binary, range int, block binary"), "shingle-sets")
+    return docs.mapInArrow(run, "range int, block binary")
 
 
-def _frequencies(table: DataFrame, range_bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bitmap of values seen twice or more, and the most frequent values with their classes."""
-    span, shift = 1 << (BITMAP_BITS - range_bits), 32 - BITMAP_BITS
+def _resized(bits: bytes, size: int) -> bytes:
+    """A bitmap in ``size`` bits: neighbours become one, or a bit becomes several equal ones; both sizes are powers of two from 8 on."""
+    flags = np.unpackbits(np.frombuffer(bits, dtype=np.uint8))
+    flags = np.repeat(flags, size // len(flags)) if size > len(flags) else flags.reshape(size, -1).max(1)
+    return np.packbits(flags).tobytes()
+
+
+def _frequencies(docs: DataFrame, range_bits: int) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+    """Binary logarithm of a bitmap's size, the bitmap of values seen twice or more, and the most frequent values with their classes."""
 
     def count(key: tuple, group: pa.Table) -> pa.Table:
-        unpress = zstandard.ZstdDecompressor()
-        blocks = [np.cumsum(np.frombuffer(unpress.decompress(b.as_py()), dtype="<u4"), dtype=np.uint32) for b in group.column("block")]
-        values, counts = np.unique(np.concatenate(blocks), return_counts=True)
-        twice = np.zeros(span, dtype=np.uint8)
-        twice[((values[counts >= 2] >> np.uint32(shift)) & np.uint32(span - 1)).astype(np.int64)] = 1
+        values, counts = np.unique(np.concatenate([_unpacked(b.as_py()) for b in group.column("block")]), return_counts=True)
+        again = values[counts >= 2]
+        fine = min(max(3, int(8 * len(again)).bit_length()), BITMAP_BITS - range_bits)
+        twice = np.zeros(1 << fine, dtype=np.uint8)
+        twice[((again >> np.uint64(VALUE_BITS - range_bits - fine)) & np.uint64((1 << fine) - 1)).astype(np.int64)] = 1
         often = counts >= 4
         level = np.log2(counts[often]).astype(np.uint8)
         return pa.table({
-            "range": pa.array([key[0].as_py()], pa.int32()), "bits": pa.array([np.packbits(twice).tobytes()], pa.binary()),
+            "range": pa.array([key[0].as_py()], pa.int32()), "bits": pa.array([np.packbits(twice).tobytes()], pa.binary()), "again": pa.array([len(again)], pa.int64()),
             "levels": pa.array([np.bincount(level, minlength=64).tolist()], pa.list_(pa.int64())),
-            "vals": pa.array([values[often].astype("<u4").tobytes()], pa.binary()), "level": pa.array([level.tobytes()], pa.binary()),
+            "vals": pa.array([values[often].astype("<u8").tobytes()], pa.binary()), "level": pa.array([level.tobytes()], pa.binary()),
         })
 
-    counted = table.where("block IS NOT NULL").select("range", "block").groupBy("range").applyInArrow(count, "range int, bits binary, levels array<long>, vals binary, level binary")
+    counted = _blocks(docs, range_bits).groupBy("range").applyInArrow(count, "range int, bits binary, again long, levels array<long>, vals binary, level binary")
     counted = materialise(counted, "shingle-counts")
-    bits = np.zeros(1 << (BITMAP_BITS - 3), dtype=np.uint8)
-    totals = np.zeros(64, dtype=np.int64)
-    for r in counted.select("range", "bits", "levels").collect():  # fixed size: 2^BITMAP_BITS bits
-        bits[r.range * span // 8 : (r.range + 1) * span // 8] = np.frombuffer(r.bits, dtype=np.uint8)
+    totals, again = np.zeros(64, dtype=np.int64), 0
+    for r in counted.select("again", "levels").collect():
         totals += np.asarray(r.levels)
+        again += r.again
     least = next(k for k in range(2, 65) if totals[k:].sum() <= FREQUENT)
+    size = min(max(range_bits + 3, (4 * again).bit_length()), BITMAP_BITS)
+    span = 1 << (size - range_bits)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [(np.frombuffer(v, dtype="<u4"), np.frombuffer(k, dtype=np.uint8)) for v, k in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
-            rows = [(v[k >= least].tobytes(), k[k >= least].tobytes()) for v, k in rows]
-            yield pa.RecordBatch.from_arrays([pa.array([v for v, _ in rows], pa.binary()), pa.array([k for _, k in rows], pa.binary())], names=["vals", "level"])
-
-    kept = counted.orderBy("range").select("vals", "level").mapInArrow(keep, "vals binary, level binary").collect()  # at most FREQUENT values
-    vals = np.frombuffer(b"".join(r.vals for r in kept), dtype="<u4")
-    level = np.frombuffer(b"".join(r.level for r in kept), dtype=np.uint8)
+        for batch in slices(batches, 1):
+            bits, vals, level = (batch.column(i)[0].as_py() for i in (1, 2, 3))
+            v, k = np.frombuffer(vals, dtype="<u8"), np.frombuffer(level, dtype=np.uint8)
+            out = _resized(bits, span), v[k >= least].tobytes(), k[k >= least].tobytes()
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array([x], pa.binary()) for x in out]], names=["range", "bits", "vals", "level"])
+
+    bits, vals, level = np.zeros(1 << (size - 3), dtype=np.uint8), [], []
+    kept = counted.select("range", "bits", "vals", "level").mapInArrow(keep, "range int, bits binary, vals binary, level binary")
+    for r in kept.collect():  # at most 2^BITMAP_BITS bits and FREQUENT values
+        bits[r.range * span // 8 : (r.range + 1) * span // 8] = np.frombuffer(r.bits, dtype=np.uint8)
+        vals.append(np.frombuffer(r.vals, dtype="<u8"))
+        level.append(np.frombuffer(r.level, dtype=np.uint8))
+    vals, level = np.concatenate([np.empty(0, dtype="<u8"), *vals]), np.concatenate([np.empty(0, dtype=np.uint8), *level])
     order = np.argsort(vals)
-    return bits, vals[order], level[order]
+    return size, bits, vals[order], level[order]
 
 
 def _prefixes(docs: DataFrame, frequencies) -> DataFrame:
-    """Written rows ``id, n, digest, hashes, prefix`` of the documents whose prefix has a repeated shingle."""
+    """Rows ``row, id, n, digest, hashes, prefix``: a number of their own, and the last two where the prefix has a repeated shingle."""
     shared = docs.sparkSession.sparkContext.broadcast(frequencies)
-    schema = "id long, n int, digest binary, hashes binary, prefix array<struct<h:long,pos:int>>"
+    schema = "row long, id long, n long, digest binary, hashes binary, prefix array<struct<h:long,pos:int>>"
     item = pa.struct([("h", pa.int64()), ("pos", pa.int32())])
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(item)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, vals, level = shared.value
-        shift = np.uint32(32 - BITMAP_BITS)
+        size, bits, vals, level = shared.value
+        shift, row = np.uint64(VALUE_BITS - size), TaskContext.get().partitionId() << 40
+
+        def prefix(own: np.ndarray) -> list[dict] | None:
+            n = len(own)
+            values = _values(own)
+            at = (values >> shift).astype(np.int64)
+            rank = (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1
+            length = n - (UP * n + DOWN - 1) // DOWN + 1
+            if n - int(rank.sum()) >= length:
+                return None
+            if len(vals):
+                spot = np.minimum(np.searchsorted(vals, values), len(vals) - 1)
+                rank = np.where(vals[spot] == values, level[spot], rank)
+            order = np.lexsort((own, rank))[:length]
+            at = np.flatnonzero(rank[order])
+            return [{"h": h, "pos": p} for h, p in zip(own[order][at].view(np.int64).tolist(), at.tolist())]
+
         for batch in slices(batches, 500):
-            ids, out = batch.column(0).to_pylist(), []
-            for name, own in zip(ids, shingles(column_bytes(batch, "text"))):
-                n = len(own)
-                if not n or name is None:
-                    continue
-                values = _values(own)
-                at = (values >> shift).astype(np.int64)
-                rank = (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1
-                length = n - (UP * n + DOWN - 1) // DOWN + 1
-                if n - int(rank.sum()) >= length:
-                    continue
-                if len(vals):
-                    spot = np.minimum(np.searchsorted(vals, values), len(vals) - 1)
-                    rank = np.where(vals[spot] == values, level[spot], rank)
-                order = np.lexsort((own, rank))[:length]
-                at = np.flatnonzero(rank[order])
-                prefix = [{"h": h, "pos": p} for h, p in zip(own[order][at].view(np.int64).tolist(), at.tolist())]
-                out.append((name, n, digest(own), own.tobytes(), prefix))
-            columns = list(zip(*out)) or [[]] * 5
-            kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.list_(item)]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=["id", "n", "digest", "hashes", "prefix"])
+            out = []
+            for name, own in zip(batch.column(0).to_pylist(), shingles(column_bytes(batch, "text"))):
+                found = prefix(own) if len(own) and name is not None else None
+                out.append((row, name, len(own), digest(own), None if found is None else own.tobytes(), found))
+                row += 1
+            columns = list(zip(*out)) or [[]] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=["row", "id", "n", "digest", "hashes", "prefix"])
 
     return docs.mapInArrow(run, schema)
 
@@ -264,6 +289,7 @@ def link(postings: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
         stars = stars.select("node", "n", F.col("lead.node").alias("o_node"), F.col("lead.n").alias("o_n")).where(_similar_length("n", "o_n"))
         stars = stars.select(F.least("node", "o_node").alias("x"), F.greatest("node", "o_node").alias("y"))
         found = materialise(_verified(stars, sets), "links")
+        postings = placed.join(major.select("h"), "h", "left_semi").select("h", "node", "n", "pos")
         if not found.take(1):
             break
         labels = components(labels, found)
@@ -280,19 +306,36 @@ def link(postings: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
     return components(labels, found)
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Within it, the shuffle files of a query are deleted when it ends, not when the driver happens to collect garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row of ``docs``: ``id, n_shingles, component_id``."""
+    with shuffles_dropped(docs.sparkSession):
+        return _near_duplicates(docs, id, text)
+
+
+def _near_duplicates(docs: DataFrame, id: str, text: str) -> DataFrame:
     spark = docs.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     range_bits = max(4, (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
     slim = docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    table = _set_table(slim, range_bits)
-    rows = table.where("block IS NULL").select("id", "n", "digest")
-    classes = materialise(rows.where("n > 0 AND id IS NOT NULL").groupBy("digest").agg(F.min("id").alias("node")), "set-classes")
-    posted = _prefixes(slim, _frequencies(table, range_bits))
-    own = classes.select("digest", F.col("node").alias("id"))
-    posted = posted.join(own, ["digest", "id"]).dropDuplicates(["digest"]).select(F.col("id").alias("node"), "n", "hashes", "prefix")
-    posted = materialise(posted, "prefixes")
+    table = materialise(_prefixes(slim, _frequencies(slim, range_bits)), "prefixes")
+    rows = table.select("id", "n", "digest")
+    first = table.where("n > 0 AND id IS NOT NULL").groupBy("digest").agg(F.min(F.struct("id", "row")).alias("first"))
+    classes = materialise(first.select("digest", F.col("first.id").alias("node"), "first.row"), "set-classes")
+    posted = table.where("hashes IS NOT NULL").select("row", "n", "hashes", "prefix").join(classes.select("row", "node"), "row")
+    posted = materialise(posted.select("node", F.col("n").cast("int").alias("n"), "hashes", "prefix"), "set-prefixes")
+    classes = classes.drop("row")
     sets = posted.select("node", "hashes")
     postings = posted.select("node", "n", F.explode("prefix").alias("p")).select("node", "n", "p.h", "p.pos")
     shared = postings.groupBy("h").agg(F.count("*").alias("m")).where("m > 1").select("h")

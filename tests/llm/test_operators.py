@@ -113,6 +113,45 @@ def test_near_duplicates_in_a_crowd(spark):
     assert {r.id: r.component_id for r in near.near_duplicates(df).collect()} == want
 
 
+def test_shingle_values_pack_and_bitmaps_change_size():
+    rng = np.random.default_rng(2)
+    values = np.sort(rng.integers(0, 1 << near.VALUE_BITS, 5000, dtype=np.uint64))
+    values[-1] = (1 << near.VALUE_BITS) - 1
+    for part in (values, values[:1], values[-1:]):
+        assert (near._unpacked(near._packed(part)) == part).all()
+    flags = rng.integers(0, 2, 64).astype(np.uint8)
+    bits = lambda b: np.unpackbits(np.frombuffer(b, dtype=np.uint8)).tolist()
+    packed = np.packbits(flags).tobytes()
+    assert bits(near._resized(packed, 16)) == flags.reshape(16, 4).max(1).tolist()
+    assert bits(near._resized(packed, 128)) == np.repeat(flags, 2).tolist() and near._resized(packed, 64) == packed
+
+
+def test_few_values_of_a_large_corpus_seem_repeated(spark):
+    """Values are wide and the bitmap follows the repeated ones, so single shingles are known as such."""
+    docs = spark.range(4000).selectExpr("id", "array_join(transform(sequence(0, 104), i -> concat(IF(id % 4 = 0, id % 8, id), 'x', i)), ' ') AS text")
+    size, bits, vals, _ = near._frequencies(docs, 4)
+    repeated = 2 * 101
+    assert 4 * repeated <= 1 << size <= 8 * repeated and int(np.unpackbits(bits).sum()) <= repeated == len(vals)
+    assert near.VALUE_BITS >= 36 and (1 << near.BITMAP_BITS) // 8 <= 64 << 20
+    rows = near._prefixes(docs, (size, bits, vals, _)).where("hashes is not null").select("id").collect()
+    assert {r.id for r in rows} >= set(range(0, 4000, 4)) and len(rows) < 1300
+
+
+def test_near_duplicates_leave_no_shuffle_files(spark):
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles
+
+    def shuffles():
+        found = files()
+        return {n for n in (found.apply(i).getName() for i in range(found.size())) if n.startswith("shuffle_")}
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = shuffles(), spark.conf.get(name)
+    docs = spark.range(40).selectExpr("id AS doc_id", "concat('a b c d e f g h i j k l m n o p q r s t ', id % 20) AS text")
+    found = near.near_duplicates(docs)
+    assert not shuffles() - before and spark.conf.get(name) == setting
+    assert {r.component_id for r in found.collect()} == {0}
+
+
 def test_packing_restores_every_text(spark, untidy):
     encode = wordbpe.WordEncoder(wordbpe.default_path()).exact
     pieces = packing.pack(untidy, length=64).collect()
