@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,21 +63,22 @@ def _nodes(df: DataFrame, nodes: Column) -> DataFrame:
 
 
 def interval_conflicts(
-    df: DataFrame, key: str, id: str, start: str = "start", end: str = "end", grain_seconds: int = 3600
+    df: DataFrame, key: str, id: str, start: str = "start", end: str = "end", grain_seconds: int = 3600, shown: Callable[[Column], Column] = lambda c: c
 ) -> DataFrame:
     """Pairs of overlapping intervals of the same key, each pair once: ``(key, a, b, from, to)``.
 
     The interval that starts later (ties by id) is looked up at its starting cell: an earlier one holds
     that cell iff one node of its dyadic cover lies on the cell's path up, and then exactly one
     does. Intervals of a minute and of a year meet without a bucket size to choose: both are a few
-    dozen rows at most. Crowded nodes are split by AQE's skew join.
+    dozen rows at most. Crowded nodes are split by AQE's skew join. ``shown`` (such as a date format) makes ``from``
+    and ``to`` of times; it is applied once per interval, of which there are far fewer than pairs.
     """
     whole = df.where(F.col(start) < F.col(end))
     top = _top_level(whole, start, end, grain_seconds)
     slim = whole.select(F.col(key).alias("key"), F.col(id).alias("id"), F.col(start).alias("s"), F.col(end).alias("e"))
-    a = slim.select("key", F.col("id").alias("a"), F.col("s").alias("a_s"), F.col("e").alias("a_e"))
+    a = slim.select("key", F.col("id").alias("a"), F.col("s").alias("a_s"), F.col("e").alias("a_e"), shown(F.col("e")).alias("a_to"))
     a = _nodes(a, cover(_cell("a_s", grain_seconds), _last_cell("a_e", "a_s", grain_seconds), top))
-    b = slim.select("key", F.col("id").alias("b"), F.col("s").alias("b_s"), F.col("e").alias("b_e"))
+    b = slim.select("key", F.col("id").alias("b"), F.col("s").alias("b_s"), F.col("e").alias("b_e"), shown(F.col("s")).alias("b_from"), shown(F.col("e")).alias("b_to"))
     b = _nodes(b, path_up(_cell("b_s", grain_seconds), top))
     later = (F.col("b_s") > F.col("a_s")) | ((F.col("b_s") == F.col("a_s")) & (F.col("b") > F.col("a")))
     pairs = a.join(b, ["key", "__level", "__node"]).where(later & (F.col("b_s") < F.col("a_e")))
@@ -85,8 +86,8 @@ def interval_conflicts(
         F.col("key").alias(key),
         F.least("a", "b").alias("a"),
         F.greatest("a", "b").alias("b"),
-        F.col("b_s").alias("from"),
-        F.least("a_e", "b_e").alias("to"),
+        F.col("b_from").alias("from"),
+        F.when(F.col("a_e") <= F.col("b_e"), F.col("a_to")).otherwise(F.col("b_to")).alias("to"),
     )
 
 

@@ -50,3 +50,8 @@ def test_keyword_scores_add_up_without_a_second_shuffle(spark):
     # One exchange for the rank by question; the one by id is the repartition itself.
     assert main.count("Exchange hashpartitioning(q_id") == 1 and "Exchange hashpartitioning(q_id#" in main
     assert "id#" not in main.split("Exchange hashpartitioning(q_id")[1].split(")")[0].split(",", 1)[1]
+
+
+def test_conflict_times_are_written_once_per_booking(spark):
+    text = plans.queries()["r8_interval_conflicts"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "date_format" not in text[: text.index("Join")] and text.count("date_format") >= 3
