@@ -331,3 +331,17 @@ def test_tabled_tangent_and_summed_logarithms():
     for y in (rng.integers(0, 2, 80).astype(float), rng.random(80)):
         q = np.clip(p, 1e-12, 1 - 1e-12)
         assert networks._log_likelihood(p, y) == pytest.approx((y * np.log(q) + (1 - y) * np.log(1 - q)).sum(1), abs=1e-9)
+
+
+def test_stacking_works_folds_out_once(noisy):
+    plans = []
+
+    class Probe(LogisticRegression):
+        def fit(self, df, params=None):
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+            return super().fit(df, params)
+
+    data = noisy.select(F.col("id").alias("key"), array_to_vector("x").alias("features"), "label")
+    scored = models.fit_stack(data, {"lr": Probe(maxIter=5)}, "key", folds=3)(data)
+    assert len(plans) == 4 and not any("md5" in p for p in plans)
+    assert scored.where("prediction = label").count() > 600
