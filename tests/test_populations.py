@@ -345,3 +345,22 @@ def test_stacking_works_folds_out_once(noisy):
     scored = models.fit_stack(data, {"lr": Probe(maxIter=5)}, "key", folds=3)(data)
     assert len(plans) == 4 and not any("md5" in p for p in plans)
     assert scored.where("prediction = label").count() > 600
+
+
+def test_histograms_look_votes_up_once(monkeypatch):
+    """One table entry by bin and class, not one of each class and a choice."""
+    rng = np.random.default_rng(6)
+    x, y, f = rng.integers(0, 4, (300, 2)).astype("u1"), rng.integers(0, 2, 300).astype(float), rng.integers(0, 3, 300).astype("<i4")
+    no, yes, left, shift = rng.random((2, 2, 4)), rng.random((2, 2, 4)), np.array([-9, 1]), np.array([0.5, 0.1])
+    want = np.zeros((2, 2, 4, 2))
+    for m in range(2):
+        for row, label, fold in zip(x, y.astype(int), f):
+            if fold != left[m]:
+                weight = np.exp(sum((no if label else yes)[m, j, b] for j, b in enumerate(row)) - shift[m])
+                for j, b in enumerate(row):
+                    want[m, j, b, label] += weight
+    monkeypatch.setattr(boosting.B, "summed", lambda blocks, fn, size, kind: fn(x, y, f))
+    monkeypatch.setattr(np, "where", None)
+    got = boosting._histograms(None, no, yes, shift, left, 4)
+    monkeypatch.undo()
+    assert got == pytest.approx(want)
